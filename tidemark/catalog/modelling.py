@@ -2,9 +2,9 @@
 
 Fitted models have no SQL, but on planted data their result is known in closed form.
 An unregularised Poisson or logistic model of one categorical column predicts the
-group means; the strongest L1 penalty leaves the overall mean; ratings that are a
-product of a user's and a movie's factor are matched exactly by one latent factor;
-and well-separated groups are their own clusters.
+group means; a strong L1 penalty leaves the overall mean, and a strong recommender penalty
+predicts zero; ratings that are a product of a user's and a movie's factor are
+matched exactly by one latent factor; and well-separated groups are their own clusters.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from tidemark.catalog.inputs import POLICIES, RATINGS, hash_fraction
 from tidemark.catalog.registry import Query, rounded
 from tidemark.operators import features, models, schema, tuning
 from tidemark.operators.features import FEATURES, SCALED
+from tidemark.operators.splits import CLAIM_FRACTIONS, TEMPORAL_THRESHOLDS
 from tidemark.plans import claims, particles, recommender
 from tidemark.sources import fixtures
 from tidemark.sources.cache import kept
@@ -242,10 +243,32 @@ def _splits(ratings: DataFrame):
     return recommender.time_splits(ratings)
 
 
-def _als_report(spark: SparkSession, directory: str) -> DataFrame:
-    with kept(fixtures.ratings(spark, directory)) as ratings:
-        splits = _splits(ratings)
-        return recommender.report(splits, recommender.fit_models(splits))
+def _als_report(settings):
+    def run(spark: SparkSession, directory: str) -> DataFrame:
+        with kept(fixtures.ratings(spark, directory)) as ratings:
+            splits = _splits(ratings)
+            return recommender.report(splits, recommender.fit_models(splits, settings))
+
+    return run
+
+
+# Penalties so strong that every prediction is zero.
+_STRONG = {
+    "Setting1": {"rank": 1, "maxIter": 3, "regParam": 1e6},
+    "Setting2": {"rank": 2, "maxIter": 5, "regParam": 1e5},
+}
+_SHARES = ", ".join(f"('{round(100 * t)}%', {t})" for t in TEMPORAL_THRESHOLDS)
+_ZERO_PREDICTED = f"""{RATINGS}, ranked AS (
+  SELECT *, percent_rank() OVER (ORDER BY timestamp) AS p FROM ratings),
+shares(split, share) AS (VALUES {_SHARES}),
+known_users AS (SELECT DISTINCT split, "userId" FROM ranked JOIN shares ON p < share),
+known_movies AS (SELECT DISTINCT split, "movieId" FROM ranked JOIN shares ON p < share),
+tested AS (
+  SELECT split, rating FROM ranked JOIN shares ON p >= share
+  JOIN known_users USING (split, "userId") JOIN known_movies USING (split, "movieId")),
+measured AS (
+  SELECT split, sqrt(avg(rating ** 2)) AS rmse, avg(rating ** 2) AS mse, avg(rating) AS mae
+  FROM tested GROUP BY split)"""
 
 
 _CLUSTERED = {"Setting2": models.ALS_SETTINGS["Setting2"]}
@@ -283,16 +306,14 @@ _CV_GRID = {"fitIntercept": [True, False], "maxIter": [50, 100]}
 def _tuned(spark: SparkSession, directory: str) -> tuning.Tuned:
     df = _by_status(spark, directory)
     with kept(df):
-        return tuning.cross_validate(
-            df,
+        candidate = tuning.Candidate(
             models.poisson_regression("claim_nb", regParam=0.0, tol=1e-10),
             _CV_GRID,
             tuning.rmse("claim_nb"),
-            _FOLDS,
-            ["policy_id"],
-            _FOLD_SEED,
-            prepare=_status_stages(df),
         )
+        return tuning.cross_validate(
+            df, {"poisson": candidate}, _FOLDS, ["policy_id"], _FOLD_SEED, _status_stages(df)
+        )["poisson"]
 
 
 # Without an intercept the level without a slot, the rarest, is predicted as exp(0) = 1.
@@ -322,6 +343,91 @@ def _best_params(spark: SparkSession, directory: str) -> DataFrame:
     return _tuned(spark, directory).best().filter(F.col("param") == "fitIntercept")
 
 
+def _claims_by_status(spark: SparkSession, directory: str) -> DataFrame:
+    policies = fixtures.policies(spark, directory).select("policy_id", "claim_nb", "status")
+    run = claims.run_claims(
+        policies,
+        ["status"],
+        ["policy_id"],
+        regularisation=[0.0],
+        cv_fraction=1.0,
+        handle_invalid="error",
+    )
+    return rounded(run.report, "value")
+
+
+_TRAINED = hash_fraction(["policy_id"], models.CLAIMS_SEED)
+_CLAIMS = f"""WITH {POLICIES}, split AS (
+  SELECT *, {_TRAINED} < CASE has_claim WHEN 0 THEN {CLAIM_FRACTIONS[0]}
+                                        ELSE {CLAIM_FRACTIONS[1]} END AS trained FROM policies),
+means AS (
+  SELECT status, avg(claim_nb) AS claims, avg(has_claim) AS label FROM split WHERE trained
+  GROUP BY status),
+tested AS (
+  SELECT s.claim_nb, s.has_claim, m.claims, m.label FROM split s JOIN means m USING (status)
+  WHERE NOT s.trained),
+ranked AS (
+  SELECT *, rank() OVER (ORDER BY label) + (count(*) OVER (PARTITION BY label) - 1) / 2.0 AS r
+  FROM tested),
+measured AS (
+  SELECT sqrt(avg((claim_nb - claims) ** 2)) AS rmse,
+         avg(((label > 0.5)::int = has_claim)::int) AS accuracy,
+         (sum(r * has_claim) - sum(has_claim) * (sum(has_claim) + 1) / 2.0)
+           / (sum(has_claim) * (count(*) - sum(has_claim))) AS auc
+  FROM ranked)
+SELECT v.model, v.metric, round(v.value, 6) AS value FROM measured, (VALUES
+  ('poisson', 'rmse', rmse),
+  ('logistic_l1', 'area_under_roc', auc), ('logistic_l1', 'accuracy', accuracy),
+  ('logistic_l2', 'area_under_roc', auc), ('logistic_l2', 'accuracy', accuracy)
+) AS v(model, metric, value)"""
+
+
+def _classifiers_of_orders(spark: SparkSession, directory: str) -> DataFrame:
+    orders = _orders_with_planted_label(spark, directory).select(
+        "o_orderkey", "label", (F.col("o_orderstatus") == "O").cast("double").alias("open")
+    )
+    run = particles.run_classifiers(
+        orders,
+        ["open"],
+        ["o_orderkey"],
+        grids={
+            "random_forest": {"maxDepth": [1], "numTrees": [5, 10]},
+            "gradient_boosting": {"maxDepth": [1], "maxIter": [3], "stepSize": [0.2, 0.3]},
+            "neural_network": {"maxIter": [50], "blockSize": [20, 30]},
+        },
+        fraction=1.0,
+        folds=3,
+    )
+    return rounded(run.report, "value")
+
+
+_PART = hash_fraction(["o_orderkey"], models.PARTICLES_SEED + 1)
+_CLASSIFIED = f"""WITH {_PLANTED}, split AS (SELECT *, {_PART} < 0.7 AS trained FROM planted),
+means AS (SELECT open, avg(label) AS mean FROM split WHERE trained GROUP BY open),
+tested AS (
+  SELECT s.label, m.mean, (m.mean > 0.5)::int AS prediction FROM split s JOIN means m USING (open)
+  WHERE NOT s.trained),
+ranked AS (
+  SELECT *, rank() OVER (ORDER BY mean) + (count(*) OVER (PARTITION BY mean) - 1) / 2.0 AS r
+  FROM tested),
+per_class AS (
+  SELECT class, count(*) FILTER (WHERE label = class) AS support,
+         2.0 * count(*) FILTER (WHERE label = class AND prediction = class)
+           / (count(*) FILTER (WHERE label = class) + count(*) FILTER (WHERE prediction = class))
+           AS f1
+  FROM tested, (VALUES (0), (1)) AS c(class) GROUP BY class),
+measured AS (
+  SELECT avg((label = prediction)::int) AS accuracy,
+         (SELECT sum(support * f1) / sum(support) FROM per_class) AS f1,
+         (sum(r * label) - sum(label) * (sum(label) + 1) / 2.0)
+           / (sum(label) * (count(*) - sum(label))) AS auc
+  FROM ranked)
+SELECT m.model, v.metric, round(v.value, 6) AS value
+FROM measured, (VALUES ('random_forest'), ('gradient_boosting'), ('neural_network')) AS m(model),
+  (VALUES ('accuracy', accuracy), ('f1_weighted', f1), ('area_under_roc', auc)) AS v(metric, value)
+"""
+
+
 def _claims(spark: SparkSession, directory: str) -> DataFrame:
     run = claims.run_claims(
         fixtures.policies(spark, directory),
@@ -457,7 +563,15 @@ QUERIES = [
     ),
     Query("cluster_top5_by_split", _cluster_top5),
     Query("cluster_genres_by_split", _cluster_genres),
-    Query("als_report", _als_report),
+    Query(
+        "als_report",
+        lambda s, d: rounded(_als_report(_STRONG)(s, d), "value"),
+        f"""WITH {_ZERO_PREDICTED}
+        SELECT m.split, s.setting, v.metric, round(v.value, 6) AS value
+        FROM measured m, (VALUES ('Setting1'), ('Setting2')) AS s(setting),
+          (VALUES ('rmse', rmse), ('mse', mse), ('mae', mae)) AS v(metric, value)""",
+    ),
+    Query("als_report_ratings", _als_report(models.ALS_SETTINGS)),
     Query(
         "grid_expand",
         lambda s, d: rounded(_tuned(s, d).settings(), "value"),
@@ -477,6 +591,8 @@ QUERIES = [
           CASE WHEN "fitIntercept" THEN 'True' ELSE 'False' END AS value
         FROM averaged ORDER BY averaged.value LIMIT 1""",
     ),
-    Query("claims_report", _claims),
-    Query("classifier_report", _classifiers),
+    Query("claims_report", _claims_by_status, _CLAIMS),
+    Query("claims_report_all_features", _claims),
+    Query("classifier_report", _classifiers_of_orders, _CLASSIFIED),
+    Query("classifier_report_particles", _classifiers),
 ]

@@ -7,9 +7,10 @@ the curve is exact and does not depend on row order or on a number of bins.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranking import sums_below
+from tidemark.operators.ranking import counted_ranges, sum_below
 
 
 def regression_metrics(
@@ -34,10 +35,11 @@ def area_under_roc(
 ) -> DataFrame:
     """Share of (positive, negative) pairs ranked rightly, ties count half.
 
-    Null when a class is missing. Pairs are counted per distinct score from the
-    negatives below it, so no pair is ever formed.
+    Null when a class is missing. A positive wins against the negatives with a
+    lower score: those of the lower ranges and those before it in its own. No pair is formed,
+    and what is added up over all ranges is one row per range.
     """
-    counted = sums_below(
+    scored = counted_ranges(
         df,
         score_col,
         {
@@ -45,10 +47,24 @@ def area_under_roc(
             "neg": F.count_if(F.col(label_col) == 0),
         },
     )
-    wins = F.col("pos").cast("decimal(38,0)") * (2 * F.col("neg_below") + F.col("neg"))
-    pairs = F.max("pos_total").cast("double") * F.max("neg_total")
-    return counted.agg(
-        F.try_divide(F.sum(wins).cast("double"), 2 * pairs).alias("area_under_roc")
+    # Twice the wins, so that half a win for a tie stays whole.
+    wide = "decimal(38,0)"
+    in_range = sum_below("neg", W.partitionBy("_range").orderBy(score_col))
+    per_range = (
+        scored.select(
+            "_range",
+            "pos",
+            "neg",
+            (F.col("pos").cast(wide) * (2 * in_range + F.col("neg"))).alias("wins"),
+        )
+        .groupBy("_range")
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("wins").alias("wins"))
+    )
+    lower = sum_below("neg", W.orderBy("_range"))
+    wins = F.sum(F.col("wins") + F.col("pos").cast(wide) * 2 * F.col("lower"))
+    pairs = F.sum("pos").cast("double") * F.sum("neg")
+    return per_range.select("pos", "neg", "wins", lower.alias("lower")).agg(
+        F.try_divide(wins.cast("double"), 2 * pairs).alias("area_under_roc")
     )
 
 

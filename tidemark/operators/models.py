@@ -45,6 +45,8 @@ NETWORK_GRID = {
 ALS_SETTINGS = {"Setting1": {}, "Setting2": {"rank": 20, "maxIter": 15, "regParam": 0.02}}
 USER_CLUSTERS = 25
 
+MAX_BLOCKS = 400
+
 
 def poisson_regression(
     label_col: str, features_col: str = FEATURES, offset_col: str | None = None, **params
@@ -91,23 +93,25 @@ def neural_network(
     )
 
 
-def recommender(seed: int = RATINGS_SEED, blocks: int | None = None, **params) -> ALS:
-    """Explicit ratings; pairs with an unseen user or movie get no prediction.
-
-    `blocks` is the number of user and of item blocks. Raise it with the number
-    of executors: the library's default of 10 is for small inputs.
-    """
-    model = ALS(
+def recommender(seed: int = RATINGS_SEED, **params) -> ALS:
+    """Explicit ratings; pairs with an unseen user or movie get no prediction."""
+    return ALS(
         userCol="userId", itemCol="movieId", ratingCol="rating", seed=seed,
         coldStartStrategy="drop", **params,
     )
-    return model.setNumBlocks(blocks) if blocks else model
 
 
-def fit_recommender(ratings: DataFrame, **params) -> ALSModel:
-    """Fit on the three columns needed; lineage is cut when a checkpoint folder is there."""
-    ensure_checkpoint_dir(ratings.sparkSession)
-    return recommender(**params).fit(ratings.select("userId", "movieId", "rating"))
+def fit_recommender(ratings: DataFrame, blocks: int | None = None, **params) -> ALSModel:
+    """Fit on the three columns needed; lineage is cut when a checkpoint folder is there.
+
+    `blocks` is the number of user and of item blocks, by default one per core up to
+    a limit: every half iteration moves factors between all pairs of blocks.
+    """
+    spark = ratings.sparkSession
+    ensure_checkpoint_dir(spark)
+    blocks = blocks or min(spark.sparkContext.defaultParallelism, MAX_BLOCKS)
+    model = recommender(**params).setNumBlocks(blocks)
+    return model.fit(ratings.select("userId", "movieId", "rating"))
 
 
 def user_factors(model: ALSModel) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,77 +24,64 @@ def _range_count(df: DataFrame) -> int:
     return max(2, min(configured, MAX_RANGES))
 
 
-def sums_below(
+def counted_ranges(
     df: DataFrame,
     order_col: str,
-    measures: Mapping[str, Column],
+    counts: Mapping[str, Column],
     ranges: int | None = None,
 ) -> DataFrame:
-    """One row per distinct value of `order_col`, a number, date or timestamp.
+    """One row per distinct value of `order_col` with its counts and its `_range`.
 
-    For every measure, a count, the row holds `m`, the count at this value; `m_below`,
-    that of all smaller values; and `m_total`, that of all rows. Null counts as
-    the smallest value.
+    The column holds numbers, dates or timestamps; null is the smallest value.
+    Every value of a range is below every value of the next.
     """
     ranges = _range_count(df) if ranges is None else ranges
-    names = list(measures)
     # The only pass over the rows; copies of a value are folded before the shuffle.
-    values = df.groupBy(order_col).agg(*[m.alias(name) for name, m in measures.items()])
-
+    values = df.groupBy(order_col).agg(*[c.alias(name) for name, c in counts.items()])
     # Counts are never negative. Reading them all the same keeps this plan's shuffle
     # equal to that of `values`, so Spark runs it once for both. The result is one
     # row: an aggregate without keys.
-    counted = reduce(add, [F.col(n) for n in names]) >= 0
+    counted = reduce(add, [F.col(n) for n in counts]) >= 0
     cuts = values.select(
         F.percentile_approx(
             F.when(counted, F.col(order_col)), [i / ranges for i in range(1, ranges)]
         )
     ).scalar()
-    ranged = (
-        values.withColumn("_cuts", cuts)
-        .withColumn(
-            "_range",
-            F.when(F.col(order_col).isNull(), -1).otherwise(
-                F.size(F.filter("_cuts", lambda cut: cut <= F.col(order_col)))
-            ),
-        )
-        .drop("_cuts")
+    return values.select("*", cuts.alias("_cuts")).select(
+        order_col,
+        *counts,
+        F.when(F.col(order_col).isNull(), -1)
+        .otherwise(F.size(F.filter("_cuts", lambda cut: cut <= F.col(order_col))))
+        .alias("_range"),
     )
 
-    # At most `ranges` + 1 rows, so one task and a broadcast are safe.
-    range_sums = ranged.groupBy("_range").agg(*[F.sum(n).alias(n) for n in names])
-    lower = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    everything = W.orderBy("_range").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    offsets = range_sums.select(
-        "_range",
-        *[F.coalesce(F.sum(n).over(lower), F.lit(0)).alias(f"_{n}_offset") for n in names],
-        *[F.sum(n).over(everything).alias(f"{n}_total") for n in names],
-    )
 
-    within = (
-        W.partitionBy("_range").orderBy(order_col).rowsBetween(W.unboundedPreceding, -1)
-    )
-    # A left join, although every range has an offset: an inner join would push
-    # its not-null test on `_range` below the aggregation and spoil the shared shuffle.
-    return ranged.join(F.broadcast(offsets), "_range", "left").select(
-        order_col,
-        *names,
-        *[
-            (F.col(f"_{n}_offset") + F.coalesce(F.sum(n).over(within), F.lit(0))).alias(
-                f"{n}_below"
-            )
-            for n in names
-        ],
-        *[f"{n}_total" for n in names],
+def sum_below(column: str, window: WindowSpec) -> Column:
+    """Sum over the rows before the current one in an ordered window."""
+    return F.coalesce(
+        F.sum(column).over(window.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
     )
 
 
 def value_ranks(df: DataFrame, order_col: str, ranges: int | None = None) -> DataFrame:
     """Per distinct value: `rank` (ties share the lowest) and `percent_rank`."""
-    return sums_below(df, order_col, {"n": F.count("*")}, ranges).select(
+    ranged = counted_ranges(df, order_col, {"n": F.count("*")}, ranges)
+    # At most `ranges` + 1 rows, so one task and a broadcast are safe.
+    per_range = ranged.groupBy("_range").agg(F.sum("n").alias("n"))
+    offsets = per_range.select(
+        "_range",
+        sum_below("n", W.orderBy("_range")).alias("_offset"),
+        F.sum("n")
+        .over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+        .alias("_total"),
+    )
+    below = F.col("_offset") + sum_below("n", W.partitionBy("_range").orderBy(order_col))
+    # A left join, although every range has an offset: an inner join would push
+    # its not-null test on `_range` below the aggregation and spoil the shared shuffle.
+    return ranged.join(F.broadcast(offsets), "_range", "left").select(
         order_col,
-        (F.col("n_below") + 1).alias("rank"),
-        F.when(F.col("n_total") > 1, F.col("n_below") / (F.col("n_total") - 1))
+        (below + 1).alias("rank"),
+        F.when(F.col("_total") > 1, below / (F.col("_total") - 1))
         .otherwise(0.0)
         .alias("percent_rank"),
     )

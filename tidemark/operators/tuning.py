@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -53,6 +53,15 @@ def expand_grid(estimator: Estimator, grid: Mapping[str, Sequence]) -> list[dict
     return builder.build()
 
 
+@dataclass(frozen=True)
+class Candidate:
+    """A model to tune: the values to try per parameter and the metric that decides."""
+
+    estimator: Estimator
+    grid: Mapping[str, Sequence]
+    metric: Metric
+
+
 @dataclass(frozen=True)
 class Tuned:
     """Outcome of a cross-validation."""
@@ -79,81 +88,97 @@ def _plain(value):
     return ",".join(str(v) for v in value) if isinstance(value, list) else value
 
 
-def _columns_read(estimator: Estimator) -> list[str]:
-    names = ("labelCol", "featuresCol", "weightCol", "offsetCol")
-    return [
-        estimator.getOrDefault(n)
-        for n in names
-        if estimator.hasParam(n) and estimator.isDefined(n) and estimator.getOrDefault(n)
-    ]
+def _columns_read(estimators: Iterable[Estimator]) -> list[str]:
+    params = ("labelCol", "featuresCol", "weightCol", "offsetCol")
+    columns = {
+        estimator.getOrDefault(name)
+        for estimator in estimators
+        for name in params
+        if estimator.hasParam(name) and estimator.isDefined(name)
+    }
+    return sorted(columns - {""})
 
 
 def cross_validate(
     df: DataFrame,
-    estimator: Estimator,
-    grid: Mapping[str, Sequence],
-    metric: Metric,
+    candidates: Mapping[str, Candidate],
     folds: int,
     keys: Sequence[str],
     seed: int,
     prepare: Sequence[Estimator] = (),
-    parallelism: int = 4,
+    parallelism: int = 8,
     refit_on: DataFrame | None = None,
-) -> Tuned:
-    """Try every setting on every fold, then refit the best one.
+) -> dict[str, Tuned]:
+    """Try every setting of every candidate on every fold, then refit the best ones.
 
     Folds are hashed from the key columns, so they can be repeated and no
-    Python function is run on the rows. The feature stages in `prepare` are fitted once per
-    fold, not once per fold and setting; the vectors of a fold are kept while
-    its settings train side by side. The best setting is refitted on
-    `refit_on`, else on all of `df`. What reaches the driver is one number per
-    fold and setting.
+    Python function is run on the rows. The feature stages in `prepare` are fitted
+    once per fold, whatever the number of settings and candidates; the vectors of
+    a fold are kept while all settings train on them, `parallelism` at a time. The best
+    settings are refitted on `refit_on`, else on all of `df`. What reaches the
+    driver is one number per fold and setting.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    maps = expand_grid(estimator, grid)
-    columns_read = _columns_read(estimator)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    maps = {name: expand_grid(c.estimator, c.grid) for name, c in candidates.items()}
+    tasks = [(name, setting) for name in candidates for setting in range(len(maps[name]))]
+    columns_read = _columns_read(c.estimator for c in candidates.values())
     fold_of = k_fold(folds, keys, seed)
-    scored: list[tuple[int, int, float]] = []
-    pool = ThreadPool(min(parallelism, len(maps)))
-    try:
-        for fold in range(folds):
-            train, held_out = df.filter(fold_of != fold), df.filter(fold_of == fold)
-            features = Pipeline(stages=list(prepare)).fit(train)
-            with (
-                kept(features.transform(train).select(*columns_read)) as train_vectors,
-                kept(features.transform(held_out).select(*columns_read)) as test_vectors,
-            ):
-
-                def one(setting, train=train_vectors, test=test_vectors, fold=fold):
-                    model = estimator.fit(train, maps[setting])
-                    return setting, fold, metric.value(model.transform(test))
-
-                run = inheritable_thread_target(df.sparkSession)(one)
-                scored += pool.map(run, range(len(maps)))
-    finally:
-        pool.close()
-    if any(value is None for _, _, value in scored):
-        raise ValueError(f"{metric.name} is undefined on a fold; use fewer folds")
-
-    means = [
-        sum(v for s, _, v in scored if s == setting) / folds for setting in range(len(maps))
-    ]
-    pick = max if metric.larger_is_better else min
-    best = pick(range(len(maps)), key=means.__getitem__)
+    scored: list[tuple[str, int, int, float]] = []
+
+    def side_by_side(work, items: list) -> list:
+        with ThreadPool(min(parallelism, len(items))) as pool:
+            return pool.map(inheritable_thread_target(spark)(work), items)
+
+    for fold in range(folds):
+        train, held_out = df.filter(fold_of != fold), df.filter(fold_of == fold)
+        features = Pipeline(stages=list(prepare)).fit(train)
+        with (
+            kept(features.transform(train).select(*columns_read)) as train_vectors,
+            kept(features.transform(held_out).select(*columns_read)) as test_vectors,
+        ):
+
+            def measure(task, train=train_vectors, test=test_vectors, fold=fold):
+                name, setting = task
+                model = candidates[name].estimator.fit(train, maps[name][setting])
+                return name, setting, fold, candidates[name].metric.value(model.transform(test))
+
+            scored += side_by_side(measure, tasks)
+    if any(value is None for *_, value in scored):
+        raise ValueError("a metric is undefined on a fold; use fewer folds")
+
+    best = {}
+    for name, candidate in candidates.items():
+        totals = [0.0] * len(maps[name])
+        for scored_name, setting, _, value in scored:
+            if scored_name == name:
+                totals[setting] += value
+        pick = max if candidate.metric.larger_is_better else min
+        best[name] = pick(range(len(totals)), key=totals.__getitem__)
 
     whole = df if refit_on is None else refit_on
     features = Pipeline(stages=list(prepare)).fit(whole)
     with kept(features.transform(whole).select(*columns_read)) as vectors:
-        fitted = estimator.fit(vectors, maps[best])
-
-    names = list(grid)
-    values = [[_plain(m[estimator.getParam(n)]) for n in names] for m in maps]
-    rows = [(s, *values[s], f, metric.name, float(v)) for s, f, v in scored]
-    columns = ["setting", *names, "fold", "metric", "value"]
-    return Tuned(
-        folds=df.sparkSession.createDataFrame(rows, columns),
-        best_setting=best,
-        best_params=dict(zip(names, values[best], strict=True)),
-        model=PipelineModel(stages=[features, fitted]),
-        metric=metric,
-    )
+
+        def refit(name):
+            return candidates[name].estimator.fit(vectors, maps[name][best[name]])
+
+        fitted = dict(zip(candidates, side_by_side(refit, list(candidates)), strict=True))
+
+    outcome = {}
+    for name, candidate in candidates.items():
+        params = list(candidate.grid)
+        values = [[_plain(m[candidate.estimator.getParam(p)]) for p in params] for m in maps[name]]
+        rows = [
+            (setting, *values[setting], fold, candidate.metric.name, float(value))
+            for scored_name, setting, fold, value in scored
+            if scored_name == name
+        ]
+        outcome[name] = Tuned(
+            folds=spark.createDataFrame(rows, ["setting", *params, "fold", "metric", "value"]),
+            best_setting=best[name],
+            best_params=dict(zip(params, values[best[name]], strict=True)),
+            model=PipelineModel(stages=[features, fitted[name]]),
+            metric=candidate.metric,
+        )
+    return outcome

@@ -36,9 +36,10 @@ def run_claims(
     cv_fraction: float = 0.1,
     refit_on_all: bool = False,
     scale: bool = False,
+    handle_invalid: str = "keep",
     offset_col: str | None = None,
     seed: int = models.CLAIMS_SEED,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> ClaimsRun:
     """Tune and test Poisson, L1 and L2 logistic regression.
 
@@ -54,41 +55,48 @@ def run_claims(
     train, test = stratified_split(narrow, label_col, fractions, keys, seed)
     chosen = sample(train, cv_fraction, keys, seed + 1)
     check_levels(train, features)
-    stages = feature_stages(train, features, scale=scale)
+    stages = feature_stages(train, features, scale, handle_invalid)
     vector = SCALED if scale else FEATURES
 
+    grid = {"regParam": regularisation}
     candidates = {
-        "poisson": (
+        "poisson": tuning.Candidate(
             models.poisson_regression(count_col, vector, "_offset" if offset_col else None),
+            grid,
             tuning.rmse(count_col),
         ),
-        "logistic_l1": (
+        "logistic_l1": tuning.Candidate(
             models.logistic_regression(label_col, "l1", vector),
+            grid,
             tuning.area_under_roc(label_col),
         ),
-        "logistic_l2": (
+        "logistic_l2": tuning.Candidate(
             models.logistic_regression(label_col, "l2", vector),
+            grid,
             tuning.area_under_roc(label_col),
         ),
     }
-    values, coefficients, tuned = [], [], {}
-    with kept(chosen) as chosen_rows, kept(test) as test_rows:
-        for name, (estimator, metric) in candidates.items():
-            outcome = tuning.cross_validate(
-                chosen_rows, estimator, {"regParam": regularisation}, metric, folds, keys,
-                seed + 2, stages, parallelism, refit_on=train if refit_on_all else None,
-            )
-            predictions = outcome.model.transform(test_rows)
-            values.append((name, metric.name, metric.value(predictions)))
+    with kept(chosen) as chosen_rows:
+        tuned = tuning.cross_validate(
+            chosen_rows, candidates, folds, keys, seed + 2, stages, parallelism,
+            refit_on=train if refit_on_all else None,
+        )
+    values, coefficients = [], []
+    # All candidates share their feature stages.
+    encoder = tuned["poisson"].model.stages[0]
+    with kept(encoder.transform(test)) as vectors:
+        for name, outcome in tuned.items():
+            model = outcome.model.stages[-1]
+            predictions = model.transform(vectors)
+            values.append((name, outcome.metric.name, outcome.metric.value(predictions)))
             if name != "poisson":
                 accuracy = metrics.accuracy(predictions, label_col).first()[0]
                 values.append((name, "accuracy", accuracy))
             coefficients.append(
-                models.coefficient_table(outcome.model.stages[-1], predictions, vector).select(
+                models.coefficient_table(model, predictions, vector).select(
                     F.lit(name).alias("model"), "feature", "coefficient"
                 )
             )
-            tuned[name] = outcome
     spark = policies.sparkSession
     poisson, l1, l2 = coefficients
     return ClaimsRun(

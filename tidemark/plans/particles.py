@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import metrics, models, tuning
 from tidemark.operators.features import FEATURES
 from tidemark.operators.splits import random_split, sample
+from tidemark.sources.cache import kept
 from tidemark.sources.files import scratch_path, snapshot
 
 
@@ -48,7 +49,7 @@ def run_classifiers(
     fraction: float = 0.01,
     folds: int = 5,
     path: str | None = None,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> ClassifierRun:
     """Tune each model on the training part, report accuracy, F1 and AUC on the test part."""
     grids = FULL_GRIDS if grids is None else grids
@@ -63,17 +64,20 @@ def run_classifiers(
         "gradient_boosting": models.gradient_boosting(label_col),
         "neural_network": models.neural_network(len(features), label_col),
     }
-    values, params, tuned = [], [], {}
-    for name, grid in grids.items():
-        outcome = tuning.cross_validate(
-            train, estimators[name], grid, tuning.f1_weighted(label_col), folds, keys,
-            models.PARTICLES_SEED, parallelism=parallelism,
-        )
-        predictions = models.with_score(outcome.model.transform(test))
-        row = metrics.classification_metrics(predictions, label_col).first()
-        values += [(name, metric, value) for metric, value in row.asDict().items()]
-        params += [(name, p, str(v)) for p, v in outcome.best_params.items()]
-        tuned[name] = outcome
+    metric = tuning.f1_weighted(label_col)
+    candidates = {
+        name: tuning.Candidate(estimators[name], grid, metric) for name, grid in grids.items()
+    }
+    tuned = tuning.cross_validate(
+        train, candidates, folds, keys, models.PARTICLES_SEED, parallelism=parallelism
+    )
+    values, params = [], []
+    with kept(test) as test_rows:
+        for name, outcome in tuned.items():
+            predictions = models.with_score(outcome.model.transform(test_rows))
+            row = metrics.classification_metrics(predictions, label_col).first()
+            values += [(name, metric, value) for metric, value in row.asDict().items()]
+            params += [(name, p, str(v)) for p, v in outcome.best_params.items()]
     spark = df.sparkSession
     return ClassifierRun(
         report=spark.createDataFrame(values, "model string, metric string, value double"),
