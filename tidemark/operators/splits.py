@@ -145,4 +145,5 @@ def temporal_split_at(
     """(train, test) at a known cutoff: plain predicates that reach the file scan."""
     if cutoff is None:
         return df, df.filter(F.lit(False))
-    return split_by(df, F.col(time_col).isNull() | (F.col(time_col) < F.lit(cutoff)))
+    time = F.col(time_col)
+    return df.filter(time.isNull() | (time < F.lit(cutoff))), df.filter(time >= F.lit(cutoff))
