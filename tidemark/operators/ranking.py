@@ -16,12 +16,38 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_RANGES = 1000
+# The cut points, one fewer than ranges, travel to every task.
+MAX_RANGES = 4096
 
 
 def _range_count(df: DataFrame) -> int:
-    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(configured, MAX_RANGES))
+    """Some ranges per shuffle task, so that hashing them to tasks evens out."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(4 * tasks, MAX_RANGES)
+
+
+def _with_range(values: DataFrame, order_col: str, cuts: Column, ranges: int) -> DataFrame:
+    """Add `_range`, the number of cut points up to the value; -1 for null.
+
+    `ranges` is a power of two. The cut points are searched by halving, one
+    projection per step, which stays in generated code; comparing with each of them in turn
+    would take longer than the sort that follows.
+    """
+    columns = values.columns
+    found = values.select(*columns, cuts.alias("_cuts"), F.lit(0).alias("_range"))
+    step = ranges // 2
+    while step:
+        reached = F.get("_cuts", F.col("_range") + (step - 1)) <= F.col(order_col)
+        found = found.select(
+            *columns,
+            "_cuts",
+            (F.col("_range") + F.when(reached, step).otherwise(0)).alias("_range"),
+        )
+        step //= 2
+    return found.select(
+        *columns,
+        F.when(F.col(order_col).isNull(), -1).otherwise(F.col("_range")).alias("_range"),
+    )
 
 
 def counted_ranges(
@@ -33,9 +59,10 @@ def counted_ranges(
     """One row per distinct value of `order_col` with its counts and its `_range`.
 
     The column holds numbers, dates or timestamps; null is the smallest value.
-    Every value of a range is below every value of the next.
+    Every value of a range is below every value of the next. `ranges` is rounded
+    up to a power of two.
     """
-    ranges = _range_count(df) if ranges is None else ranges
+    ranges = 1 << ((_range_count(df) if ranges is None else ranges) - 1).bit_length()
     # The only pass over the rows; copies of a value are folded before the shuffle.
     values = df.groupBy(order_col).agg(*[c.alias(name) for name, c in counts.items()])
     # Counts are never negative. Reading them all the same keeps this plan's shuffle
@@ -44,16 +71,12 @@ def counted_ranges(
     counted = reduce(add, [F.col(n) for n in counts]) >= 0
     cuts = values.select(
         F.percentile_approx(
-            F.when(counted, F.col(order_col)), [i / ranges for i in range(1, ranges)]
+            F.when(counted, F.col(order_col)),
+            [i / ranges for i in range(1, ranges)],
+            max(1000, 4 * ranges),
         )
     ).scalar()
-    return values.select("*", cuts.alias("_cuts")).select(
-        order_col,
-        *counts,
-        F.when(F.col(order_col).isNull(), -1)
-        .otherwise(F.size(F.filter("_cuts", lambda cut: cut <= F.col(order_col))))
-        .alias("_range"),
-    )
+    return _with_range(values, order_col, cuts, ranges)
 
 
 def sum_below(column: str, window: WindowSpec) -> Column:
