@@ -54,7 +54,8 @@ _SLOTS = [f"x{i}" for i in range(4)]
 
 def _assembled(spark: SparkSession, directory: str, scale: bool) -> DataFrame:
     policies = fixtures.policies(spark, directory).select("policy_id", *_VECTOR_COLUMNS)
-    fitted = features.fit_features(policies, _VECTOR_COLUMNS, scale, handle_invalid="error")
+    with kept(policies):
+        fitted = features.fit_features(policies, _VECTOR_COLUMNS, scale, handle_invalid="error")
     vector = SCALED if scale else FEATURES
     flat = fitted.transform(policies).select("policy_id", vector)
     return features.flatten_vector(flat, vector, _SLOTS)

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics
+from tidemark.operators.concurrency import side_by_side
 from tidemark.operators.models import with_score
 from tidemark.operators.splits import k_fold
 from tidemark.sources.cache import kept
@@ -126,10 +125,6 @@ def cross_validate(
     fold_of = k_fold(folds, keys, seed)
     scored: list[tuple[str, int, int, float]] = []
 
-    def side_by_side(work, items: list) -> list:
-        with ThreadPool(min(parallelism, len(items))) as pool:
-            return pool.map(inheritable_thread_target(spark)(work), items)
-
     for fold in range(folds):
         train, held_out = df.filter(fold_of != fold), df.filter(fold_of == fold)
         features = Pipeline(stages=list(prepare)).fit(train)
@@ -143,7 +138,7 @@ def cross_validate(
                 model = candidates[name].estimator.fit(train, maps[name][setting])
                 return name, setting, fold, candidates[name].metric.value(model.transform(test))
 
-            scored += side_by_side(measure, tasks)
+            scored += side_by_side(spark, measure, tasks, parallelism)
     if any(value is None for *_, value in scored):
         raise ValueError("a metric is undefined on a fold; use fewer folds")
 
@@ -163,7 +158,8 @@ def cross_validate(
         def refit(name):
             return candidates[name].estimator.fit(vectors, maps[name][best[name]])
 
-        fitted = dict(zip(candidates, side_by_side(refit, list(candidates)), strict=True))
+        refitted = side_by_side(spark, refit, list(candidates), parallelism)
+        fitted = dict(zip(candidates, refitted, strict=True))
 
     outcome = {}
     for name, candidate in candidates.items():
