@@ -24,8 +24,8 @@ def parse(lines: DataFrame, require_bytes: bool = True) -> DataFrame:
         log.host(line).alias("host"),
         log.time_text(line).alias("ts_text"),
         log.request(line).alias("request"),
-        log.int_from_end(line, 2).alias("status"),
-        log.int_from_end(line, 1).alias("bytes"),
+        log.status(line).alias("status"),
+        log.reply_bytes(line).alias("bytes"),
     )
     # A pattern without a match gives '', so only the numbers can be missing. Testing
     # no more than those lets a report that needs the host skip the other patterns.

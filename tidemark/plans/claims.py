@@ -48,7 +48,8 @@ def run_claims(
     the scaled vectors. `offset_col` takes the exposure out of the features and
     into the Poisson model as a log offset.
     """
-    narrow = positive_label(policies, count_col, label_col)
+    used = {*keys, *features, count_col, *([offset_col] if offset_col else [])}
+    narrow = positive_label(policies.select(*sorted(used)), count_col, label_col)
     if offset_col:
         narrow = narrow.withColumn("_offset", F.log(offset_col))
         features = [f for f in features if f != offset_col]
@@ -84,7 +85,8 @@ def run_claims(
     values, coefficients = [], []
     # All candidates share their feature stages.
     encoder = tuned["poisson"].model.stages[0]
-    with kept(encoder.transform(test)) as vectors:
+    tested = [count_col, label_col, vector, *(["_offset"] if offset_col else [])]
+    with kept(encoder.transform(test).select(*tested)) as vectors:
         for name, outcome in tuned.items():
             model = outcome.model.stages[-1]
             predictions = model.transform(vectors)
