@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import Query
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.language import identify, learn
 from tidemark.sources.files import read_table
 
 
+def fold(buckets: int) -> Column:
+    """crc32 of the doc_id as text, modulo `buckets`; null ids are in fold 0."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)) % buckets
+
+
+def op9_language_id(spark: SparkSession, directory: str) -> DataFrame:
+    docs = read_table(spark, directory, "documents")
+    parser = learn(docs.filter(fold(4) != 2).select("lang", "text"))
+    return identify(docs, parser).select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op7_decontaminate(spark: SparkSession, directory: str) -> DataFrame:
     found = contamination(read_table(spark, directory, "documents"), read_table(spark, directory, "benchmark"))
     return found.select(
@@ -30,4 +42,5 @@ def op8_jaccard_join(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES = [
     Query("op7_decontaminate", op7_decontaminate),
     Query("op8_jaccard_join", op8_jaccard_join),
+    Query("op9_language_id", op9_language_id),
 ]
