@@ -1,4 +1,8 @@
-"""From raw documents to token ids: the stages of the corpus, each on what the one before kept."""
+"""From raw documents to token ids: the stages of the corpus, each on what the one before kept.
+
+Rows with null or repeated ids are rows like others. Decisions that depend on the text alone are
+joined by the text's hash, so they hold whatever the ids are. Empty tables pass through.
+"""
 
 from __future__ import annotations
 
@@ -8,28 +12,66 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import Query
+from tidemark.llm import bpe, language
+from tidemark.llm.catalog import bpe_digests, vocabulary_path
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.secrets import masked, secret_spans
 from tidemark.sources.files import read_table, scratch_path, snapshot
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any letter go; a missing language is filled in."""
+    parser = language.learn(docs.select("lang", "text"))
+    found = language.tagged(docs.drop("lang_pred", "score"), parser).filter(F.col("lang_pred") != language.UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies stays: the one that names it."""
-    kept = jaccard_components(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One document of each component of near copies stays: the one with the smallest id.
+
+    Rows that share that id stay too, unless their texts are equal; so do different texts of components
+    that have no id at all.
+    """
+    found = snapshot(jaccard_components(docs), scratch_path(spark, "near-duplicates"))
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    repeated = not found.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    return rows.dropDuplicates(["doc_id", "text"]) if repeated else rows
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain too much of the benchmark go."""
-    found = contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    return docs.join(found.filter("not contaminated").select("doc_id"), "doc_id", "left_semi")
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    found = contamination(texts, read_table(spark, sf_dir, "benchmark")).filter("contaminated")
+    gone = snapshot(found.select(F.col("doc_id").alias("_text")).distinct(), scratch_path(spark, "contaminated"))
+    return docs.join(gone, F.xxhash64("text") == F.col("_text"), "left_anti")
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts; all documents stay."""
+    found = secret_spans(docs).filter("size(spans) > 0").select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    found = snapshot(found.dropDuplicates(["_blob"]), scratch_path(spark, "spans"))
+    rows = docs.join(found, F.sha2("text", 256) == F.col("_blob"), "left")
+    hit = F.col("_spans").isNotNull()
+    rows = rows.withColumn("text", F.when(hit, masked(F.col("text"), F.col("_spans"))).otherwise(F.col("text")))
+    size = F.when(hit, F.length("text")).otherwise(F.col("n_chars"))
+    return rows.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the kept texts and what they decode to, as digests."""
+    return bpe_digests(bpe.decode(bpe.encode(docs, vocabulary_path()), vocabulary_path()))
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontaminated),
+    ("secrets", without_secrets),
+    ("encoding", encoded),
 ]
 
 #: Suffix automata and exact token ids have no SQL.

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.words import LOWER, Block, blocks
 
@@ -185,14 +186,8 @@ def learn(labelled: DataFrame) -> Parser:
     )
 
 
-def identify(docs: DataFrame, parser: Parser) -> DataFrame:
-    """doc_id, lang_pred, score of every row of docs (doc_id, text).
-
-    `lang_pred` is one of the learned languages; ties go to the first by name. It is `und`, with score
-    0, where the text is null or has no letter, or where nothing was learned. The score is between 0
-    and 1, and higher the more bits per letter the other languages need. Whole texts are parsed;
-    their pieces of `PIECE` letters each begin a phrase. Repeated rows each get their result.
-    """
+def tagged(docs: DataFrame, parser: Parser) -> DataFrame:
+    """docs with columns lang_pred and score, which replace columns of these names; see `identify`."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(parser).values()))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,13 +196,21 @@ def identify(docs: DataFrame, parser: Parser) -> DataFrame:
             for block in blocks(batch.column("text")):
                 languages, scores = parser.decide(block)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(block.first, block.rows),
-                        pa.array(languages, pa.string()),
-                        pa.array(scores),
-                    ],
-                    ["doc_id", "lang_pred", "score"],
+                    [*batch.slice(block.first, block.rows).columns, pa.array(languages, pa.string()), pa.array(scores)],
+                    [*batch.schema.names, "lang_pred", "score"],
                 )
 
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(rows, "doc_id long, lang_pred string, score double")
+    docs = docs.drop("lang_pred", "score").withColumn("text", F.col("text").cast("string"))
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return docs.mapInArrow(rows, schema)
+
+
+def identify(docs: DataFrame, parser: Parser) -> DataFrame:
+    """doc_id, lang_pred, score of every row of docs (doc_id, text).
+
+    `lang_pred` is one of the learned languages; ties go to the first by name. It is `und`, with score
+    0, where the text is null or has no letter, or where nothing was learned. The score is between 0
+    and 1, and higher the more bits per letter the other languages need. Whole texts are parsed;
+    their pieces of `PIECE` letters each begin a phrase. Repeated rows each get their result.
+    """
+    return tagged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), parser).drop("text")
