@@ -56,6 +56,22 @@ def test_regression_metrics_equal_the_library(predictions):
         assert row[name] == pytest.approx(RegressionEvaluator(metricName=name).evaluate(predictions))
 
 
+def test_all_at_once_reads_the_rows_once(spark, predictions):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for row in rows:
+            reads.add(1)
+            yield row
+
+    rows = predictions.filter("label < 2").withColumn("score", F.col("prediction") / 4)
+    counted = spark.createDataFrame(rows.rdd.mapPartitions(seen), rows.schema)
+    row = metrics.classification_metrics(counted).first()
+    assert reads.value == rows.count()
+    assert row.f1_weighted == pytest.approx(metrics.f1_weighted(rows).first()[0])
+    assert row.area_under_roc == pytest.approx(metrics.area_under_roc(rows).first()[0])
+
+
 def test_all_at_once_and_long_form(spark, predictions):
     df = predictions.filter("label < 2").withColumn("score", F.col("prediction") / 4)
     row = metrics.classification_metrics(df)

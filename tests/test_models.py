@@ -39,10 +39,37 @@ def test_features_must_be_text_or_numbers(policies):
         features.feature_stages(policies.withColumn("d", F.current_date()), ["d"])
 
 
-def test_too_many_levels_are_refused(policies):
+def test_hashed_encoding_takes_any_number_of_levels(spark):
+    df = spark.range(120_000).select(F.concat(F.lit("level"), "id").alias("area"), (F.col("id") % 7).alias("power"))
+    stages = features.feature_stages(df, ["area", "power"], encoding="hash", slots=1024)
+    vectors = features.fit_features(df, ["area", "power"], encoding="hash", slots=1024).transform(df)
+    assert len(stages) == 2 and vectors.first().features.size == 1025
+    assert len(features.feature_names(vectors)) == 1025
     with pytest.raises(ValueError):
-        features.check_levels(policies, ["area"], limit=2)
-    features.check_levels(policies, ["power"])
+        features.feature_stages(df, ["area"], encoding="other")
+
+
+def test_claims_run_with_hashed_levels(policies):
+    from tidemark.plans.claims import run_claims
+
+    run = run_claims(
+        policies.withColumnRenamed("claims", "n"), ["area"], ["id"], "n", "any",
+        regularisation=[0.1], cv_fraction=1.0, folds=2, encoding="hash", slots=16,
+    )
+    assert run.report.count() == 5 and run.coefficients.count() == 3 * 17
+
+
+def test_factors_do_not_depend_on_the_cores(spark):
+    ratings = spark.range(400).select(
+        (F.col("id") % 20).cast("int").alias("userId"),
+        (F.col("id") * 7 % 31).cast("int").alias("movieId"),
+        (F.col("id") % 5 + 1).cast("double").alias("rating"),
+    )
+    model = models.fit_recommender(ratings, rank=2, maxIter=2)
+    again = models.fit_recommender(ratings.repartition(3), rank=2, maxIter=2)
+    factors = lambda m: {r.id: [round(x, 4) for x in r.features] for r in m.userFactors.collect()}
+    assert factors(model) == factors(again)
+    assert model.userFactors.rdd.getNumPartitions() == models.BLOCKS
 
 
 def _fit(policies, estimator, columns=("power", "noise")):

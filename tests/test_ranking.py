@@ -63,6 +63,24 @@ def test_rows_are_read_once_to_rank_them(spark, tmp_path):
     assert "ReadSchema: struct<t:bigint>" in plan
 
 
+def test_cut_points_meet_in_two_levels(spark, tmp_path):
+    """The aggregate without keys reads groups' cut points, about as many groups as the root of the tasks."""
+    path = str(tmp_path / "many")
+    spark.range(5000).withColumnRenamed("id", "t").repartition(16).write.parquet(path)
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        df = ranking.value_ranks(spark.read.parquet(path), "t", 64)
+        plan = executed(df)
+        assert count(plan, "FileScan") == 1
+        assert "_group" in plan and "explode(_cuts" in plan
+        ranged = ranking.counted_ranges(spark.read.parquet(path), "t", {"n": F.count("*")}, 64)
+        sizes = [r["count"] for r in ranged.groupBy("_range").count().collect()]
+        assert len(sizes) == 64 and max(sizes) < 2 * 5000 / 64
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+
+
 def test_top_k_numbers_rows(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("a", 2), ("b", 9)], "g string, v int")
     top = ranking.top_k(df, 2, [F.desc("v")], ["g"]).collect()

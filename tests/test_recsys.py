@@ -1,6 +1,10 @@
 import pytest
 
-from tidemark.operators import models, recsys
+from pyspark.sql import functions as F
+
+from tests.plans import executed
+from tidemark.catalog import evaluation
+from tidemark.operators import models, recsys, sets
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +33,44 @@ def test_liked_movies(ratings, users):
     assert as_dict(recsys.liked_movies(ratings, users, average_of_all=True)) == {10: 4.0}
 
 
+@pytest.fixture
+def skewed(spark, tmp_path):
+    """A folder where one of 300 users has most ratings, and settings that split it."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    path = str(tmp_path / "ratings")
+    user = F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 300).cast("int")
+    spark.range(60_000).select(user.alias("userId"), F.rand(1).alias("rating")).repartition(8).write.parquet(path)
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield spark.read.parquet(path)
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_hot_user_is_split_for_aggregated_ids(skewed):
+    ids = skewed.groupBy("userId").count().filter("count > 1").select("userId")
+    found = sets.members(skewed, ids, "userId")
+    assert "skew=true" in executed(found)
+    assert found.count() == 60_000
+
+
+def test_hot_user_is_split_for_means(skewed, monkeypatch):
+    monkeypatch.setattr(evaluation.fixtures, "ratings", lambda *_: skewed)
+    assert "skew=true" in executed(evaluation._user_means(skewed.sparkSession, ""))
+
+
+def test_null_keys_are_no_members(spark):
+    df = spark.createDataFrame([(1,), (None,), (2,)], "k int")
+    assert [r.k for r in sets.members(df, df.filter("k is null or k = 1"), "k").collect()] == [1]
+
+
 def test_repeated_genres(movies):
     assert as_dict(recsys.genre_counts(movies)) == {"x": 1, "y": 2, "z": 1}
     assert as_dict(recsys.genre_counts(movies, distinct=False)) == {"x": 2, "y": 2, "z": 1}

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.plans import executed
+from tidemark.functions.hashing import hash_fraction
 from tidemark.operators import splits
 
 KEYS, SEED = ["id"], 7
@@ -102,3 +103,18 @@ def test_known_cutoff_reaches_the_scan(spark, tmp_path):
     assert (train.count(), test.count()) == (4, 6)
     assert "Or(IsNull(t),LessThan(t,4))" in executed(train)
     assert "GreaterThanOrEqual(t,4)" in executed(test)
+
+
+def test_neighbouring_keys_do_not_run_together(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "a"), ("a", None), ("null", "a")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    found = {r[0] for r in df.select(hash_fraction(["x", "y"], 1)).collect()}
+    assert len(found) == len(rows)
+
+
+def test_stratified_query_scans_once(spark):
+    from tests.plans import count, executed
+    from tidemark.catalog import ALL
+
+    plan = executed(ALL["split_stratified"].run(spark, "/root/testdata/sf0.001"))
+    assert count(plan, "FileScan") == 3

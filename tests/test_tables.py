@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from tests.plans import executed
 from tidemark.operators import schema, sets
-from tidemark.sources import files, schemas
+from tidemark.operators.splits import random_split
+from tidemark.sources import files, inputs, schemas
 
 
 def test_rename_checks_the_number_of_names(spark):
@@ -114,3 +115,35 @@ def test_shared_directory_is_the_configured_one(spark, shared_folder):
 def test_checkpoint_folder_is_kept(spark, shared_folder):
     files.ensure_checkpoint_dir(spark)
     assert shared_folder in spark.sparkContext.getCheckpointDir()
+
+
+def test_no_folder_is_made_up(spark, monkeypatch):
+    class Bare:
+        conf = type("Conf", (), {"get": staticmethod(lambda *_: None)})
+        sparkContext = type("Context", (), {"getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(ValueError):
+        files.scratch_path(Bare, "x")
+    assert files.scratch_path(Bare, "x", "/given").startswith("/given/x-")
+    files.ensure_checkpoint_dir(Bare)
+
+
+def test_inputs_of_the_analyses_from_csv(spark, tmp_path):
+    (tmp_path / "policies.csv").write_text(
+        "IDpol,ClaimNb,Exposure,Area,VehPower,VehAge,DrivAge,BonusMalus,VehBrand,VehGas,Density,Region\n"
+        "1,0,0.5,C,5,0,55,50,B12,Regular,1217,R82\n"
+    )
+    policies = inputs.read_policies(spark, str(tmp_path / "policies.csv"))
+    assert set(schemas.POLICY_FEATURES) < set(policies.columns) and policies.first().Density == 1217
+    (tmp_path / "particles.csv").write_text("\n".join([",".join(f"c{i}" for i in range(29)), *[",".join(["1"] * 29)] * 3]))
+    particles = inputs.read_particles(spark, str(tmp_path / "particles.csv"))
+    assert particles.columns == schemas.PARTICLE_COLUMNS and particles.count() == 3
+    (tmp_path / "movies.csv").write_text('movieId,title,genres\n1,"A, the",x|y\n')
+    assert inputs.read_movies(spark, str(tmp_path / "movies.csv")).first().title == "A, the"
+
+
+def test_table_without_a_key_is_split_by_all_columns(spark):
+    df = spark.range(300).select((F.col("id") % 100).cast("double").alias("a"), F.lit(1.0).alias("b"))
+    train, test = random_split(df, [0.7, 0.3], df.columns, 3)
+    assert train.count() + test.count() == 300
+    assert train.join(test, ["a", "b"], "left_semi").count() == 0

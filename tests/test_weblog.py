@@ -32,6 +32,11 @@ def test_parse_drops_what_has_no_numbers(spark):
     assert {(r.status, r.bytes) for r in kept} == {(200, 6245), (200, None)}
 
 
+def test_large_replies_are_counted(spark):
+    row = weblog.parse(lines(spark, GOOD.replace("6245", str(3 << 31)))).first()
+    assert row.bytes == 3 << 31
+
+
 def test_request_is_the_last_quoted_text(spark):
     line = GOOD.replace('"GET /a HTTP/1.0"', '"GET /"x" HTTP/1.0"')
     assert weblog.parse(lines(spark, line)).first().request == " HTTP/1.0"

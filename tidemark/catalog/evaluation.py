@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog.inputs import RATINGS, SCORES
 from tidemark.catalog.registry import Query, rounded
 from tidemark.operators import metrics
+from tidemark.operators.sets import hashed
 from tidemark.sources import fixtures
 
 
@@ -15,7 +16,7 @@ def _user_means(spark: SparkSession, directory: str) -> DataFrame:
     """Ratings predicted by the user's average rating."""
     ratings = fixtures.ratings(spark, directory).select("userId", "rating")
     means = ratings.groupBy("userId").agg(F.avg("rating").alias("prediction"))
-    return ratings.join(means, "userId")
+    return hashed(ratings, "userId").join(hashed(means, "userId"), ["userId", "_hash"]).drop("_hash")
 
 
 def _regression(name: str):

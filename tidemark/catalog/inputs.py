@@ -18,7 +18,7 @@ PARSED = f"""{ACCESS_LOG}, fields AS (
          regexp_extract(value, '{TIME_PATTERN}', 1) AS ts_text,
          regexp_extract(value, '{REQUEST_PATTERN}', 1) AS request,
          try_cast(string_split(value, ' ')[-2] AS integer) AS status,
-         try_cast(string_split(value, ' ')[-1] AS integer) AS bytes
+         try_cast(string_split(value, ' ')[-1] AS bigint) AS bytes
   FROM access_log),
 parsed AS (SELECT * FROM fields WHERE status IS NOT NULL AND bytes IS NOT NULL)"""
 
@@ -64,5 +64,7 @@ SCORES = """scores AS (
 
 
 def hash_fraction(keys: list[str], seed: int) -> str:
-    text = ", ".join(f"{key}::varchar" for key in keys)
-    return f"(('0x' || substr(md5(concat_ws('|', {text}, '{seed}')), 1, 8))::bigint / 4294967296.0)"
+    parts = " || ".join(
+        f"coalesce(length({key}::varchar)::varchar || ':' || {key}::varchar, 'null') || '|'" for key in keys
+    )
+    return f"(('0x' || substr(md5({parts} || '{seed}'), 1, 8))::bigint / 4294967296.0)"

@@ -2,8 +2,7 @@
 
 Fitted models have no SQL, but on planted data their result is known in closed form.
 An unregularised Poisson or logistic model of one categorical column predicts the
-group means; a strong L1 penalty leaves the overall mean, and a strong recommender penalty
-predicts zero; ratings that are a product of a user's and a movie's factor are
+group means, and an L1 penalty moves them by a known amount; ratings that are a product of a user's and a movie's factor are
 matched exactly by one latent factor; and well-separated groups are their own clusters.
 """
 
@@ -21,10 +20,10 @@ from tidemark.operators import features, models, schema, tuning
 from tidemark.operators.features import FEATURES, SCALED
 from tidemark.operators.splits import CLAIM_FRACTIONS, TEMPORAL_THRESHOLDS
 from tidemark.plans import claims, particles, recommender
-from tidemark.sources import fixtures
+from tidemark.sources import fixtures, inputs
 from tidemark.sources.cache import kept
-from tidemark.sources.files import read_table
-from tidemark.sources.schemas import PARTICLE_FEATURES
+from tidemark.sources.files import read_table, scratch_path, write_csv
+from tidemark.sources.schemas import PARTICLE_FEATURES, POLICY_FEATURES
 
 # --- Features -------------------------------------------------------------------------
 
@@ -48,6 +47,25 @@ def _one_hot(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+_HASH_SLOTS = 1 << 16
+
+
+def _hashed_levels(spark: SparkSession, directory: str) -> DataFrame:
+    """Rows, filled slots per row and distinct slots of every level, under hashed encoding."""
+    orders = _priorities(spark, directory)
+    vectors = features.hash_stage(["o_orderpriority"], _HASH_SLOTS).transform(orders)
+    slot = F.array_position(vector_to_array(F.col(features.HASHED)), F.lit(1.0))
+    filled = F.aggregate(vector_to_array(F.col(features.HASHED)), F.lit(0.0), lambda s, x: s + x)
+    each = vectors.groupBy("o_orderpriority", features.HASHED).count()
+    return (
+        each.select("o_orderpriority", "count", slot.alias("slot"), filled.alias("filled"))
+        .groupBy("o_orderpriority")
+        .agg(
+            F.sum("count").alias("n"), F.max("filled").alias("filled"), F.count_distinct("slot").alias("slots")
+        )
+    )
+
+
 _VECTOR_COLUMNS = ["exposure", "status", "total_price"]
 _SLOTS = [f"x{i}" for i in range(4)]
 
@@ -119,6 +137,52 @@ def _logistic(penalty: str, **params):
     return run
 
 
+# Of these penalties one leaves the coefficient, the other does not.
+_WEAK, _FULL = 0.02, 1.0
+
+
+def _logistic_l1(spark: SparkSession, directory: str) -> DataFrame:
+    """One 0/1 column, unscaled, under a weak and a strong L1 penalty."""
+    df = schema.positive_label(
+        fixtures.policies(spark, directory).select(
+            "policy_id", "claim_nb", (F.col("status") == "O").cast("double").alias("open")
+        ),
+        "claim_nb",
+        "has_claim",
+    )
+    df = VectorAssembler(inputCols=["open"], outputCol=FEATURES).transform(df)
+    with kept(df):
+        for name, strength in (("weak", _WEAK), ("strong", _FULL)):
+            estimator = models.logistic_regression(
+                "has_claim", "l1", regParam=strength, standardization=False, tol=1e-12, maxIter=500
+            )
+            scored = estimator.fit(df).transform(df)
+            df = scored.withColumn(name, vector_to_array("probability")[1]).drop(
+                "rawPrediction", "probability", "prediction"
+            )
+    return rounded(df.select("policy_id", "open", "weak", "strong"), "weak", "strong")
+
+
+# The intercept's score equation keeps the mean. If the coefficient is not zero, its own
+# says that the column's predictions miss its labels by the penalty, towards the rest.
+_L1 = f"""WITH {POLICIES}, marked AS (
+  SELECT policy_id, has_claim, (status = 'O')::int::double AS open FROM policies),
+shares AS (
+  SELECT avg(open) AS q, avg(has_claim) AS mean, avg(has_claim) FILTER (WHERE open = 1) AS mean_1
+  FROM marked),
+solved AS (
+  SELECT q, mean, strength,
+         CASE WHEN abs(q * (mean_1 - mean)) <= strength THEN mean
+              ELSE mean_1 - strength * sign(mean_1 - mean) / q END AS p_1
+  FROM shares, (VALUES ({_WEAK}), ({_FULL})) AS s(strength)),
+predicted AS (
+  SELECT strength, open, CASE open WHEN 1 THEN p_1 ELSE (mean - q * p_1) / (1 - q) END AS p
+  FROM solved, (VALUES (0.0), (1.0)) AS o(open))
+SELECT policy_id, open, round(w.p, 6) AS weak, round(s.p, 6) AS strong
+FROM marked JOIN predicted w USING (open) JOIN predicted s USING (open)
+WHERE w.strength = {_WEAK} AND s.strength = {_FULL}"""
+
+
 def _orders_with_planted_label(spark: SparkSession, directory: str) -> DataFrame:
     limit = F.when(F.col("o_orderstatus") == "O", 2).otherwise(7)
     return read_table(spark, directory, "orders").select(
@@ -232,12 +296,43 @@ def _product_factors(spark: SparkSession, directory: str) -> DataFrame:
     return factors.select("id", F.round(value / mean, 2).alias("relative_factor"))
 
 
+# Seven groups of users, the n-th with n of 28 users and factor n.
+_GROUPS = 7
+_GROUP_OF = [g for g in range(1, _GROUPS + 1) for _ in range(g)]
+
+
+def _group_factor(user: str):
+    groups = F.array(*[F.lit(g) for g in _GROUP_OF])
+    return F.element_at(groups, (F.col(user) % len(_GROUP_OF) + 1).cast("int"))
+
+
+def _grouped_ratings(spark: SparkSession, directory: str) -> DataFrame:
+    """Ratings that are the user's group factor times the movie's factor."""
+    movie = F.col("movieId") % 2 + 1
+    ratings = fixtures.ratings(spark, directory)
+    return ratings.withColumn("rating", (_group_factor("userId") * movie).cast("double"))
+
+
+_GROUPED = f"""{RATINGS}, grouped AS (
+  SELECT "userId", "movieId", timestamp, ({_GROUP_OF})[("userId" % {len(_GROUP_OF)} + 1)::int] AS factor
+  FROM ratings)"""
+
+
+def _planted_sizes(clusters: DataFrame) -> DataFrame:
+    """(factor, count) of the five largest clusters, named by the factor all their users share."""
+    factors = clusters.groupBy("cluster").agg(
+        F.min(_group_factor("id")).alias("least"), F.max(_group_factor("id")).alias("most")
+    )
+    factor = F.when(F.col("least") == F.col("most"), F.col("least"))
+    sizes = models.cluster_sizes(clusters).join(factors, "cluster")
+    return sizes.select(factor.alias("factor"), "count")
+
+
 def _product_clusters(spark: SparkSession, directory: str) -> DataFrame:
-    ratings = _product_ratings(spark, directory)
+    ratings = _grouped_ratings(spark, directory)
     with kept(ratings):
         model = _fit_products(ratings)
-    sizes = models.cluster_sizes(recommender.cluster_users(model, len(_USER_FACTORS)))
-    return sizes.select("count")
+    return _planted_sizes(recommender.cluster_users(model, _GROUPS))
 
 
 def _splits(ratings: DataFrame):
@@ -253,22 +348,34 @@ def _als_report(settings):
     return run
 
 
-# Penalties so strong that every prediction is zero.
-_STRONG = {
-    "Setting1": {"rank": 1, "maxIter": 3, "regParam": 1e6},
-    "Setting2": {"rank": 2, "maxIter": 5, "regParam": 1e5},
+# Both find the product of the factors; the label to compare with misses it by a known error.
+_EXACT_SETTINGS = {
+    "Setting1": {"rank": 1, "maxIter": 20, "regParam": 1e-6, "nonnegative": True},
+    "Setting2": {"rank": 1, "maxIter": 25, "regParam": 1e-6, "nonnegative": True},
 }
+
+
+def _als_known_errors(spark: SparkSession, directory: str) -> DataFrame:
+    error = F.col("userId") % 3 + F.col("movieId") % 2 - 1
+    ratings = _grouped_ratings(spark, directory).withColumn("measured", F.col("rating") + error)
+    with kept(ratings):
+        splits = _splits(ratings)
+        fitted = recommender.fit_models(splits, _EXACT_SETTINGS)
+        report = recommender.report(splits, fitted, "measured")
+        return rounded(recommender.wide_report(report), "rmse", "mse", "mae", digits=2)
+
+
 _SHARES = ", ".join(f"('{round(100 * t)}%', {t})" for t in TEMPORAL_THRESHOLDS)
-_ZERO_PREDICTED = f"""{RATINGS}, ranked AS (
+_KNOWN_ERRORS = f"""{RATINGS}, ranked AS (
   SELECT *, percent_rank() OVER (ORDER BY timestamp) AS p FROM ratings),
 shares(split, share) AS (VALUES {_SHARES}),
 known_users AS (SELECT DISTINCT split, "userId" FROM ranked JOIN shares ON p < share),
 known_movies AS (SELECT DISTINCT split, "movieId" FROM ranked JOIN shares ON p < share),
 tested AS (
-  SELECT split, rating FROM ranked JOIN shares ON p >= share
+  SELECT split, "userId" % 3 + "movieId" % 2 - 1 AS error FROM ranked JOIN shares ON p >= share
   JOIN known_users USING (split, "userId") JOIN known_movies USING (split, "movieId")),
 measured AS (
-  SELECT split, sqrt(avg(rating ** 2)) AS rmse, avg(rating ** 2) AS mse, avg(rating) AS mae
+  SELECT split, sqrt(avg(error ** 2)) AS rmse, avg(error ** 2) AS mse, avg(abs(error)) AS mae
   FROM tested GROUP BY split)"""
 
 
@@ -301,14 +408,15 @@ def _cluster_genres(spark: SparkSession, directory: str) -> DataFrame:
 # --- Tuning and whole analyses --------------------------------------------------------
 
 _FOLDS, _FOLD_SEED = 3, models.CLAIMS_SEED
-_CV_GRID = {"fitIntercept": [True, False], "maxIter": [50, 100]}
+# The penalty is none, or so strong that only the intercept is left.
+_CV_GRID = {"fitIntercept": [True, False], "regParam": [0.0, 1e9]}
 
 
 def _tuned(spark: SparkSession, directory: str) -> tuning.Tuned:
     df = _by_status(spark, directory)
     with kept(df):
         candidate = tuning.Candidate(
-            models.poisson_regression("claim_nb", regParam=0.0, tol=1e-10),
+            models.poisson_regression("claim_nb", tol=1e-10, maxIter=100),
             _CV_GRID,
             tuning.rmse("claim_nb"),
         )
@@ -317,36 +425,40 @@ def _tuned(spark: SparkSession, directory: str) -> tuning.Tuned:
         )["poisson"]
 
 
-# Without an intercept the level without a slot, the rarest, is predicted as exp(0) = 1.
+# Without an intercept the level without a slot, the rarest, is predicted as exp(0) = 1,
+# and so is every level under the strong penalty.
 _CV = f"""{POLICIES}, folded AS (
   SELECT *, floor({hash_fraction(['policy_id'], _FOLD_SEED)} * {_FOLDS})::bigint AS fold
   FROM policies),
 folds AS (SELECT DISTINCT fold FROM folded),
 trained AS (
   SELECT f.fold, p.status, avg(p.claim_nb) AS mean,
+         sum(sum(p.claim_nb)) OVER (PARTITION BY f.fold)
+           / sum(count(*)) OVER (PARTITION BY f.fold) AS overall,
          row_number() OVER (PARTITION BY f.fold ORDER BY count(*), p.status DESC) = 1 AS is_base
   FROM folds f JOIN folded p ON p.fold <> f.fold GROUP BY f.fold, p.status),
 settings AS (
-  SELECT row_number() OVER () - 1 AS setting, "fitIntercept", "maxIter"::bigint AS "maxIter"
-  FROM (VALUES (true, 50), (true, 100), (false, 50), (false, 100)) AS v("fitIntercept", "maxIter")),
+  SELECT row_number() OVER () - 1 AS setting, "fitIntercept", "regParam"::double AS "regParam"
+  FROM (VALUES (true, 0), (true, 1e9), (false, 0), (false, 1e9)) AS v("fitIntercept", "regParam")),
 tested AS (
-  SELECT setting, "fitIntercept", "maxIter", fold, 'rmse' AS metric,
-         sqrt(avg((claim_nb - CASE WHEN "fitIntercept" OR NOT is_base THEN mean ELSE 1 END) ** 2))
-           AS value
+  SELECT setting, "fitIntercept", "regParam", fold, 'rmse' AS metric,
+         sqrt(avg((claim_nb - CASE WHEN "regParam" > 0 AND "fitIntercept" THEN overall
+                                   WHEN "regParam" > 0 OR (is_base AND NOT "fitIntercept") THEN 1
+                                   ELSE mean END) ** 2)) AS value
   FROM folded JOIN trained USING (fold, status) CROSS JOIN settings
-  GROUP BY setting, "fitIntercept", "maxIter", fold),
+  GROUP BY setting, "fitIntercept", "regParam", fold),
 averaged AS (
-  SELECT setting, "fitIntercept", "maxIter", metric, avg(value) AS value
+  SELECT setting, "fitIntercept", "regParam", metric, avg(value) AS value
   FROM tested GROUP BY ALL)"""
 
 
 def _best_params(spark: SparkSession, directory: str) -> DataFrame:
-    return _tuned(spark, directory).best().filter(F.col("param") == "fitIntercept")
+    return _tuned(spark, directory).best()
 
 
-def _claims_by_status(spark: SparkSession, directory: str) -> DataFrame:
+def _run_by_status(spark: SparkSession, directory: str) -> claims.ClaimsRun:
     policies = fixtures.policies(spark, directory).select("policy_id", "claim_nb", "status")
-    run = claims.run_claims(
+    return claims.run_claims(
         policies,
         ["status"],
         ["policy_id"],
@@ -354,7 +466,10 @@ def _claims_by_status(spark: SparkSession, directory: str) -> DataFrame:
         cv_fraction=1.0,
         handle_invalid="error",
     )
-    return rounded(run.report, "value")
+
+
+def _claims_by_status(spark: SparkSession, directory: str) -> DataFrame:
+    return rounded(_run_by_status(spark, directory).report, "value")
 
 
 _TRAINED = hash_fraction(["policy_id"], models.CLAIMS_SEED)
@@ -383,6 +498,76 @@ SELECT v.model, v.metric, round(v.value, 6) AS value FROM measured, (VALUES
 ) AS v(model, metric, value)"""
 
 
+_COEFFICIENTS = f"""WITH {POLICIES}, split AS (
+  SELECT *, {_TRAINED} < CASE has_claim WHEN 0 THEN {CLAIM_FRACTIONS[0]}
+                                        ELSE {CLAIM_FRACTIONS[1]} END AS trained FROM policies),
+means AS (
+  SELECT status, row_number() OVER (ORDER BY count(*) DESC, status) AS i, count(*) OVER () AS levels,
+         ln(avg(claim_nb)) AS poisson, ln(avg(has_claim) / (1 - avg(has_claim))) AS logistic
+  FROM split WHERE trained GROUP BY status),
+linked AS (
+  SELECT m.model, status, i = levels AS is_base,
+         CASE m.model WHEN 'poisson' THEN poisson ELSE logistic END AS value
+  FROM means, (VALUES ('poisson'), ('logistic_l1'), ('logistic_l2')) AS m(model))
+SELECT a.model, CASE WHEN a.is_base THEN '(intercept)' ELSE 'status_ohe_' || a.status END AS feature,
+       round(a.value - CASE WHEN a.is_base THEN 0 ELSE b.value END, 2) AS coefficient
+FROM linked a JOIN linked b ON a.model = b.model AND b.is_base"""
+
+
+def _claims_coefficients(spark: SparkSession, directory: str) -> DataFrame:
+    return rounded(_run_by_status(spark, directory).coefficients, "coefficient", digits=2)
+
+
+def _claims_from_csv(spark: SparkSession, directory: str) -> DataFrame:
+    """Policies written as the CSV of the analysis, read back and modelled by one of its features."""
+    given = {
+        "IDpol": "policy_id", "ClaimNb": "claim_nb", "Exposure": "exposure", "Area": "status",
+        "VehPower": "nation", "VehAge": "nation", "DrivAge": "nation", "BonusMalus": "nation",
+        "VehBrand": "priority", "VehGas": "segment", "Density": "nation", "Region": "segment",
+    }
+    path = scratch_path(spark, "policies")
+    policies = fixtures.policies(spark, directory)
+    write_csv(policies.select(*[F.col(column).alias(name) for name, column in given.items()]), path)
+    read = inputs.read_policies(spark, path)
+    missing = set(POLICY_FEATURES) - set(read.columns)
+    if missing:
+        raise ValueError(f"no columns {sorted(missing)}")
+    run = claims.run_claims(
+        read, ["Area"], ["IDpol"], "ClaimNb", "hasClaim",
+        regularisation=[0.0], cv_fraction=1.0, handle_invalid="error",
+    )
+    return rounded(run.report, "value")
+
+
+def _ratings_from_csv(spark: SparkSession, directory: str) -> DataFrame:
+    """Ratings written as the CSV of the analysis, read back, split by time, fitted and measured."""
+    path = scratch_path(spark, "ratings")
+    write_csv(_grouped_ratings(spark, directory), path)
+    error = F.col("userId") % 3 + F.col("movieId") % 2 - 1
+    with kept(inputs.read_ratings(spark, path).withColumn("measured", F.col("rating") + error)) as ratings:
+        splits = _splits(ratings)
+        fitted = recommender.fit_models(splits, {"Setting1": _EXACT_SETTINGS["Setting1"]})
+        return rounded(recommender.report(splits, fitted, "measured"), "value", digits=2)
+
+
+def _best_of_classifiers(spark: SparkSession, directory: str) -> DataFrame:
+    """The better of two settings, where the first one cannot tell the groups apart."""
+    orders = _orders_with_planted_label(spark, directory).select(
+        "o_orderkey", "label", (F.col("o_orderstatus") == "O").cast("double").alias("open")
+    )
+    run = particles.run_classifiers(
+        orders,
+        ["open"],
+        ["o_orderkey"],
+        grids={
+            "random_forest": {"maxDepth": [0, 1], "numTrees": [5]},
+            "gradient_boosting": {"maxDepth": [0, 1], "maxIter": [3]},
+        },
+        folds=2,
+    )
+    return run.best_params
+
+
 def _classifiers_of_orders(spark: SparkSession, directory: str) -> DataFrame:
     orders = _orders_with_planted_label(spark, directory).select(
         "o_orderkey", "label", (F.col("o_orderstatus") == "O").cast("double").alias("open")
@@ -471,6 +656,12 @@ QUERIES = [
           (i = 2)::int::double AS slot_2, (i = 3)::int::double AS slot_3
         FROM orders JOIN levels USING (o_orderpriority)""",
     ),
+    Query(
+        "feat_hash",
+        _hashed_levels,
+        """SELECT o_orderpriority, count(*) AS n, 1.0::double AS filled, 1::bigint AS slots
+        FROM orders GROUP BY o_orderpriority""",
+    ),
     Query(
         "feat_assemble",
         lambda s, d: _assembled(s, d, scale=False),
@@ -511,11 +702,8 @@ QUERIES = [
     ),
     Query(
         "model_logreg_l1",
-        _logistic("l1", regParam=1.0),
-        f"""WITH {POLICIES}, means AS (
-          SELECT policy_id, status, avg(has_claim) OVER () AS mean FROM policies)
-        SELECT policy_id, status, (mean > 0.5)::int::double AS prediction,
-               round(mean, 6) AS probability_1 FROM means""",
+        _logistic_l1,
+        _L1,
     ),
     Query(
         "model_random_forest",
@@ -559,40 +747,57 @@ QUERIES = [
     Query(
         "cluster_top5",
         _product_clusters,
-        f"""WITH {_PRODUCTS} SELECT count(DISTINCT "userId") AS count
-        FROM products GROUP BY user_factor""",
+        f"""WITH {_GROUPED} SELECT factor, count(DISTINCT "userId") AS count
+        FROM grouped GROUP BY factor ORDER BY count DESC LIMIT 5""",
     ),
     Query("cluster_top5_by_split", _cluster_top5),
     Query("cluster_genres_by_split", _cluster_genres),
     Query(
         "als_report",
-        lambda s, d: rounded(_als_report(_STRONG)(s, d), "value"),
-        f"""WITH {_ZERO_PREDICTED}
-        SELECT m.split, s.setting, v.metric, round(v.value, 6) AS value
-        FROM measured m, (VALUES ('Setting1'), ('Setting2')) AS s(setting),
-          (VALUES ('rmse', rmse), ('mse', mse), ('mae', mae)) AS v(metric, value)""",
+        _als_known_errors,
+        f"""WITH {_KNOWN_ERRORS}
+        SELECT m.split, s.setting, round(rmse, 2) AS rmse, round(mse, 2) AS mse, round(mae, 2) AS mae
+        FROM measured m, (VALUES ('Setting1'), ('Setting2')) AS s(setting)""",
     ),
     Query("als_report_ratings", _als_report(models.ALS_SETTINGS)),
     Query(
         "grid_expand",
         lambda s, d: rounded(_tuned(s, d).settings(), "value"),
-        f"""WITH {_CV} SELECT setting, "fitIntercept", "maxIter", metric, round(value, 6) AS value
+        f"""WITH {_CV} SELECT setting, "fitIntercept", "regParam", metric, round(value, 6) AS value
         FROM averaged""",
     ),
     Query(
         "cv_metrics",
         lambda s, d: rounded(_tuned(s, d).folds, "value"),
-        f"""WITH {_CV} SELECT setting, "fitIntercept", "maxIter", fold, metric,
+        f"""WITH {_CV} SELECT setting, "fitIntercept", "regParam", fold, metric,
           round(value, 6) AS value FROM tested""",
     ),
     Query(
         "cv_best_params",
         _best_params,
-        f"""WITH {_CV} SELECT 'fitIntercept' AS param,
-          CASE WHEN "fitIntercept" THEN 'True' ELSE 'False' END AS value
-        FROM averaged ORDER BY averaged.value LIMIT 1""",
+        f"""WITH {_CV}, best AS (SELECT * FROM averaged ORDER BY averaged.value LIMIT 1)
+        SELECT 'fitIntercept' AS param,
+          CASE WHEN "fitIntercept" THEN 'True' ELSE 'False' END AS value FROM best
+        UNION ALL
+        SELECT 'regParam', CASE WHEN "regParam" > 0 THEN '1000000000.0' ELSE '0.0' END FROM best""",
     ),
     Query("claims_report", _claims_by_status, _CLAIMS),
+    Query("claims_from_csv", _claims_from_csv, _CLAIMS),
+    Query("claims_coefficients", _claims_coefficients, _COEFFICIENTS),
+    Query(
+        "ratings_from_csv",
+        _ratings_from_csv,
+        f"""WITH {_KNOWN_ERRORS}
+        SELECT m.split, 'Setting1' AS setting, v.metric, round(v.value, 2) AS value
+        FROM measured m, (VALUES ('rmse', rmse), ('mse', mse), ('mae', mae)) AS v(metric, value)""",
+    ),
+    Query(
+        "classifier_best_params",
+        _best_of_classifiers,
+        """SELECT * FROM (VALUES ('random_forest', 'maxDepth', '1'), ('random_forest', 'numTrees', '5'),
+          ('gradient_boosting', 'maxDepth', '1'), ('gradient_boosting', 'maxIter', '3'))
+          AS v(model, param, value)""",
+    ),
     Query("claims_report_all_features", _claims),
     Query("classifier_report", _classifiers_of_orders, _CLASSIFIED),
     Query("classifier_report_particles", _classifiers),

@@ -25,9 +25,9 @@ def _stratified(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFra
 
 
 def _tagged(spark: SparkSession, directory: str) -> DataFrame:
-    train, test = _stratified(spark, directory)
-    return train.withColumn("split", F.lit("train")).unionByName(
-        test.withColumn("split", F.lit("test"))
+    chosen = splits.stratified("has_claim", splits.CLAIM_FRACTIONS, ["policy_id"], CLAIMS_SEED)
+    return _labelled(spark, directory).withColumn(
+        "split", F.when(chosen, "train").otherwise("test")
     )
 
 

@@ -27,10 +27,8 @@ def _csv(spark: SparkSession, directory: str, given: str | None) -> DataFrame:
 
 
 def _parquet(spark: SparkSession, directory: str) -> DataFrame:
-    train = read_table(spark, directory, "orders").filter(F.col("o_orderstatus") == "O")
     path = scratch_path(spark, "orders")
-    snapshot(train.limit(0), path)
-    written = snapshot(train, path)
+    written = snapshot(read_table(spark, directory, "orders"), path)
     return written.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -95,7 +93,7 @@ QUERIES = [
         _parquet,
         """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
                   strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
-           FROM orders WHERE o_orderstatus = 'O'""",
+           FROM orders""",
     ),
     Query(
         "schema_rename_positional",

@@ -16,6 +16,9 @@ def hash_fraction(keys: Sequence[str], seed: int) -> Column:
     """
     if not keys:
         raise ValueError("at least one key column is needed")
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    texts = [F.col(k).cast("string") for k in keys]
+    # Lengths keep ("a|b", "c") from ("a", "b|c"), and a null from an absent part.
+    parts = [F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("null")) for t in texts]
+    text = F.concat_ws("|", *parts, F.lit(str(seed)))
     digits = F.substring(F.md5(text.cast("binary")), 1, 8)
     return F.conv(digits, 16, 10).cast("bigint") / F.lit(float(2**32))

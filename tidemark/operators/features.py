@@ -5,7 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    FeatureHasher,
+    OneHotEncoder,
+    StandardScaler,
+    StringIndexer,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +21,10 @@ from tidemark.operators.schema import numeric_columns, string_columns
 FEATURES = "features"
 SCALED = "scaledFeatures"
 
-# The levels of a column are kept on the driver and sent to every task.
-MAX_LEVELS = 100_000
+HASHED = "hashed_levels"
+
+#: Slots of the hashed encoding unless the caller says otherwise.
+HASH_SLOTS = 4096
 
 
 def index_stage(columns: Sequence[str], handle_invalid: str = "keep") -> StringIndexer:
@@ -37,6 +45,16 @@ def one_hot_stage(columns: Sequence[str]) -> OneHotEncoder:
     )
 
 
+def hash_stage(columns: Sequence[str], slots: int = HASH_SLOTS) -> FeatureHasher:
+    """All columns' levels into one 0/1 vector of `slots`, by hash; levels may share a slot.
+
+    Nothing is fitted and no level is kept anywhere, so their number does not matter.
+    """
+    return FeatureHasher(
+        inputCols=list(columns), categoricalCols=list(columns), outputCol=HASHED, numFeatures=slots
+    )
+
+
 def scale_stage() -> StandardScaler:
     """Divide by the sample deviation; no centring, so sparse vectors stay sparse."""
     return StandardScaler(inputCol=FEATURES, outputCol=SCALED, withStd=True, withMean=False)
@@ -47,48 +65,48 @@ def feature_stages(
     columns: Sequence[str],
     scale: bool = False,
     handle_invalid: str = "keep",
+    encoding: str = "index",
+    slots: int = HASH_SLOTS,
 ) -> list:
     """Stages for the given columns: encoded strings first, then numbers as they are.
 
-    The result is in column `features`, or `scaledFeatures` when `scale`. With
-    'keep' an unseen level of a string column becomes all zeros; with 'error'
-    it stops the job, and the least frequent level has no slot of its own.
+    The result is in column `features`, or `scaledFeatures` when `scale`.
+
+    `encoding` 'index' gives each level of a string column a slot; the levels are kept on
+    the driver and sent to every task, so use it for columns whose levels fit there. With
+    `handle_invalid` 'keep' an unseen level becomes all zeros; with 'error' it stops the
+    job, and the least frequent level has no slot of its own. `encoding` 'hash' puts the
+    levels of all string columns into `slots` slots and has no limit of levels.
     """
+    if encoding not in ("index", "hash"):
+        raise ValueError(f"encoding is 'index' or 'hash', not {encoding!r}")
     categorical = string_columns(df, columns)
     numeric = numeric_columns(df, columns)
     other = set(columns) - set(categorical) - set(numeric)
     if other:
         raise ValueError(f"neither text nor number: {sorted(other)}")
-    stages = []
-    if categorical:
-        stages += [index_stage(categorical, handle_invalid), one_hot_stage(categorical)]
-    stages.append(
-        VectorAssembler(inputCols=[f"{c}_ohe" for c in categorical] + numeric, outputCol=FEATURES)
-    )
+    stages, encoded = [], []
+    if categorical and encoding == "hash":
+        stages, encoded = [hash_stage(categorical, slots)], [HASHED]
+    elif categorical:
+        stages = [index_stage(categorical, handle_invalid), one_hot_stage(categorical)]
+        encoded = [f"{c}_ohe" for c in categorical]
+    stages.append(VectorAssembler(inputCols=encoded + numeric, outputCol=FEATURES))
     if scale:
         stages.append(scale_stage())
     return stages
 
 
-def check_levels(df: DataFrame, columns: Sequence[str], limit: int = MAX_LEVELS) -> None:
-    """Refuse text columns with too many levels to be one-hot encoded. One pass over them."""
-    categorical = string_columns(df, columns)
-    if not categorical:
-        return
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-    wide = {c: counts[c] for c in categorical if counts[c] > limit}
-    if wide:
-        raise ValueError(f"more than {limit} levels: {wide}")
-
-
 def fit_features(
     df: DataFrame,
     columns: Sequence[str],
     scale: bool = False,
     handle_invalid: str = "keep",
+    encoding: str = "index",
+    slots: int = HASH_SLOTS,
 ) -> PipelineModel:
-    check_levels(df, columns)
-    return Pipeline(stages=feature_stages(df, columns, scale, handle_invalid)).fit(df)
+    stages = feature_stages(df, columns, scale, handle_invalid, encoding, slots)
+    return Pipeline(stages=stages).fit(df)
 
 
 def feature_names(df: DataFrame, features_col: str = FEATURES) -> list[str]:

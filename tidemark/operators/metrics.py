@@ -6,11 +6,12 @@ the curve is exact and does not depend on row order or on a number of bins.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import counted_ranges, sum_below
+from tidemark.sources.cache import kept
 
 
 def regression_metrics(
@@ -26,27 +27,25 @@ def regression_metrics(
 def accuracy(
     df: DataFrame, label_col: str = "label", prediction_col: str = "prediction"
 ) -> DataFrame:
-    correct = F.expr(f"float(`{prediction_col}` = `{label_col}`)")
-    return df.select(correct.alias("correct")).selectExpr("avg(correct) AS accuracy")
+    """Share of rows whose label is predicted; rows with a null on either side do not count."""
+    return df.select(f"`{label_col}`", f"`{prediction_col}`").selectExpr(
+        f"count_if(`{label_col}` = `{prediction_col}`) / count(`{label_col}` = `{prediction_col}`) AS accuracy"
+    )
 
 
 def area_under_roc(
-    df: DataFrame, label_col: str = "label", score_col: str = "score"
+    df: DataFrame, label_col: str = "label", score_col: str = "score", weight: Column | None = None
 ) -> DataFrame:
     """Share of (positive, negative) pairs ranked rightly, ties count half.
 
     Null when a class is missing. A positive wins against the negatives with a
     lower score: those of the lower ranges and those before it in its own. No pair is formed,
-    and what is added up over all ranges is one row per range.
+    and what is added up over all ranges is one row per range. `weight` is how many rows a row
+    stands for.
     """
-    scored = counted_ranges(
-        df,
-        score_col,
-        {
-            "pos": F.count_if(F.col(label_col) == 1),
-            "neg": F.count_if(F.col(label_col) == 0),
-        },
-    )
+    times = F.lit(1) if weight is None else weight
+    of = lambda label: F.coalesce(F.sum(F.when(F.col(label_col) == label, times)), F.lit(0))
+    scored = counted_ranges(df, score_col, {"pos": of(1), "neg": of(0)})
     # Twice the wins, so that half a win for a tie stays whole.
     wide = "decimal(38,0)"
     in_range = sum_below("neg", W.partitionBy("_range").orderBy(score_col))
@@ -82,6 +81,11 @@ def f1_weighted(
     df: DataFrame, label_col: str = "label", prediction_col: str = "prediction"
 ) -> DataFrame:
     """F1 per class, weighted by the class's share of the labels."""
+    return _f1_of_counts(confusion(df, label_col, prediction_col))
+
+
+def _f1_of_counts(counts: DataFrame) -> DataFrame:
+    """Of (label, prediction, n)."""
     seen_as = F.explode(
         F.array(
             F.struct(F.col("label").alias("class"), F.col("n").alias("support"),
@@ -92,8 +96,7 @@ def f1_weighted(
     )
     hits = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
     per_class = (
-        confusion(df, label_col, prediction_col)
-        .select(seen_as.alias("side"), hits.alias("hits"))
+        counts.select(seen_as.alias("side"), hits.alias("hits"))
         .groupBy("side.class")
         .agg(
             F.sum("side.support").alias("support"),
@@ -116,12 +119,28 @@ def classification_metrics(
     prediction_col: str = "prediction",
     score_col: str = "score",
 ) -> DataFrame:
-    """One row: accuracy, f1_weighted and area_under_roc."""
-    return df.sparkSession.range(1).select(
-        accuracy(df, label_col, prediction_col).scalar().alias("accuracy"),
-        f1_weighted(df, label_col, prediction_col).scalar().alias("f1_weighted"),
-        area_under_roc(df, label_col, score_col).scalar().alias("area_under_roc"),
-    )
+    """One row: accuracy, f1_weighted and area_under_roc.
+
+    The rows are read, and scored if they come from a model, once: all three are taken from
+    one table of (label, prediction, score) with counts, which is kept until they are known.
+    """
+    counts = df.groupBy(
+        F.col(label_col).cast("double").alias("label"),
+        F.col(prediction_col).cast("double").alias("prediction"),
+        F.col(score_col).alias("score"),
+    ).agg(F.count("*").alias("n"))
+    with kept(counts):
+        confused = counts.groupBy("label", "prediction").agg(F.sum("n").alias("n"))
+        right = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0))
+        compared = F.sum(F.when(F.col("label").isNotNull() & F.col("prediction").isNotNull(), F.col("n")))
+        parts = [
+            confused.agg(F.try_divide(right, compared)),
+            _f1_of_counts(confused),
+            area_under_roc(counts, "label", "score", F.col("n")),
+        ]
+        row = tuple(part.first()[0] for part in parts)
+    schema = "accuracy double, f1_weighted double, area_under_roc double"
+    return df.sparkSession.createDataFrame([row], schema)
 
 
 def long_form(df: DataFrame, ids: list[str], metrics: list[str]) -> DataFrame:

@@ -45,7 +45,14 @@ NETWORK_GRID = {
 ALS_SETTINGS = {"Setting1": {}, "Setting2": {"rank": 20, "maxIter": 15, "regParam": 0.02}}
 USER_CLUSTERS = 25
 
-MAX_BLOCKS = 400
+# Depth and impurity of the forest, shape of boosting and of the network.
+FOREST = {"maxDepth": 10, "impurity": "entropy"}
+BOOSTING = {"maxIter": 5, "maxDepth": 10, "lossType": "logistic"}
+NETWORK_HIDDEN = [5, 4, 2]
+NETWORK = {"maxIter": 100, "blockSize": 128}
+
+#: User and item blocks of the recommender unless the caller says otherwise.
+BLOCKS = 10
 
 
 def poisson_regression(
@@ -71,23 +78,19 @@ def logistic_regression(
 
 
 def random_forest(label_col: str = "label", features_col: str = FEATURES, **params):
-    settings = {"maxDepth": 10, "impurity": "entropy"} | params
+    settings = FOREST | params
     return RandomForestClassifier(labelCol=label_col, featuresCol=features_col, **settings)
 
 
 def gradient_boosting(label_col: str = "label", features_col: str = FEATURES, **params):
-    settings = {
-        "maxIter": 5, "maxDepth": 10, "seed": PARTICLES_SEED, "lossType": "logistic",
-    } | params
+    settings = BOOSTING | {"seed": PARTICLES_SEED} | params
     return GBTClassifier(labelCol=label_col, featuresCol=features_col, **settings)
 
 
 def neural_network(
     inputs: int, label_col: str = "label", features_col: str = FEATURES, **params
 ):
-    settings = {
-        "layers": [inputs, 5, 4, 2], "maxIter": 100, "blockSize": 128, "seed": CLAIMS_SEED,
-    } | params
+    settings = NETWORK | {"layers": [inputs, *NETWORK_HIDDEN], "seed": CLAIMS_SEED} | params
     return MultilayerPerceptronClassifier(
         labelCol=label_col, featuresCol=features_col, **settings
     )
@@ -101,15 +104,16 @@ def recommender(seed: int = RATINGS_SEED, **params) -> ALS:
     )
 
 
-def fit_recommender(ratings: DataFrame, blocks: int | None = None, **params) -> ALSModel:
+def fit_recommender(ratings: DataFrame, blocks: int = BLOCKS, **params) -> ALSModel:
     """Fit on the three columns needed; lineage is cut when a checkpoint folder is there.
 
-    `blocks` is the number of user and of item blocks, by default one per core up to
-    a limit: every half iteration moves factors between all pairs of blocks.
+    `blocks` is the number of user and of item blocks. It belongs to the model: the
+    initial factors are drawn per block, so the same ratings, seed and blocks give the
+    same factors on any number of cores. A block's ratings and factors must fit in a
+    task, and every half iteration moves factors between all pairs of blocks: take
+    about the number of ratings over ten million, and no fewer than the cores to be used.
     """
-    spark = ratings.sparkSession
-    ensure_checkpoint_dir(spark)
-    blocks = blocks or min(spark.sparkContext.defaultParallelism, MAX_BLOCKS)
+    ensure_checkpoint_dir(ratings.sparkSession)
     model = recommender(**params).setNumBlocks(blocks)
     return model.fit(ratings.select("userId", "movieId", "rating"))
 

@@ -16,14 +16,36 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# The cut points, one fewer than ranges, travel to every task.
+#: Most ranges unless the caller says how many. The cut points, one fewer than ranges,
+#: travel to every task, and each range is one group of a window.
 MAX_RANGES = 4096
 
 
+def _shuffle_tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _range_count(df: DataFrame) -> int:
     """Some ranges per shuffle task, so that hashing them to tasks evens out."""
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(4 * tasks, MAX_RANGES)
+    return min(4 * _shuffle_tasks(df), MAX_RANGES)
+
+
+def _cut_points(values: DataFrame, column: Column, order_col: str, ranges: int) -> Column:
+    """Approximate quantiles of a table that is shuffled by `order_col`, in two levels.
+
+    The values of a shuffle task share a group, so each task sends one sketch. The groups,
+    about as many as the root of the tasks, merge side by side; only their cut points
+    meet in the last task.
+    """
+    tasks = _shuffle_tasks(values)
+    groups = max(1, round(tasks**0.5))
+    shares, accuracy = [i / ranges for i in range(1, ranges)], max(1000, 4 * ranges)
+    group = F.pmod(F.pmod(F.hash(order_col), F.lit(tasks)), F.lit(groups))
+    per_group = values.groupBy(group.alias("_group")).agg(
+        F.percentile_approx(column, shares, accuracy).alias("_cuts")
+    )
+    points = per_group.select(F.explode("_cuts").alias("_cut"))
+    return points.agg(F.percentile_approx("_cut", shares, accuracy)).scalar()
 
 
 def _with_range(values: DataFrame, order_col: str, cuts: Column, ranges: int) -> DataFrame:
@@ -60,7 +82,7 @@ def counted_ranges(
 
     The column holds numbers, dates or timestamps; null is the smallest value.
     Every value of a range is below every value of the next. `ranges` is rounded
-    up to a power of two.
+    up to a power of two; by default it follows the shuffle partitions up to `MAX_RANGES`.
     """
     ranges = 1 << ((_range_count(df) if ranges is None else ranges) - 1).bit_length()
     # The only pass over the rows; copies of a value are folded before the shuffle.
@@ -69,13 +91,7 @@ def counted_ranges(
     # equal to that of `values`, so Spark runs it once for both. The result is one
     # row: an aggregate without keys.
     counted = reduce(add, [F.col(n) for n in counts]) >= 0
-    cuts = values.select(
-        F.percentile_approx(
-            F.when(counted, F.col(order_col)),
-            [i / ranges for i in range(1, ranges)],
-            max(1000, 4 * ranges),
-        )
-    ).scalar()
+    cuts = _cut_points(values, F.when(counted, F.col(order_col)), order_col, ranges)
     return _with_range(values, order_col, cuts, ranges)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics, models, tuning
-from tidemark.operators.features import FEATURES, SCALED, check_levels, feature_stages
+from tidemark.operators.features import FEATURES, HASH_SLOTS, SCALED, feature_stages
 from tidemark.operators.schema import positive_label
 from tidemark.operators.splits import CLAIM_FRACTIONS, sample, stratified_split
 from tidemark.sources.cache import kept
@@ -37,6 +37,8 @@ def run_claims(
     refit_on_all: bool = False,
     scale: bool = False,
     handle_invalid: str = "keep",
+    encoding: str = "index",
+    slots: int = HASH_SLOTS,
     offset_col: str | None = None,
     seed: int = models.CLAIMS_SEED,
     parallelism: int = 8,
@@ -45,7 +47,7 @@ def run_claims(
 
     Settings are compared on `cv_fraction` of the training rows; with
     `refit_on_all` the best one is then fitted on all of them. `scale` trains on
-    the scaled vectors. `offset_col` takes the exposure out of the features and
+    the scaled vectors. `encoding` and `slots` are those of `feature_stages`. `offset_col` takes the exposure out of the features and
     into the Poisson model as a log offset.
     """
     used = {*keys, *features, count_col, *([offset_col] if offset_col else [])}
@@ -55,8 +57,7 @@ def run_claims(
         features = [f for f in features if f != offset_col]
     train, test = stratified_split(narrow, label_col, fractions, keys, seed)
     chosen = sample(train, cv_fraction, keys, seed + 1)
-    check_levels(train, features)
-    stages = feature_stages(train, features, scale, handle_invalid)
+    stages = feature_stages(train, features, scale, handle_invalid, encoding, slots)
     vector = SCALED if scale else FEATURES
 
     grid = {"regParam": regularisation}

@@ -33,10 +33,20 @@ FULL_GRIDS = {
 
 
 def subsets(
-    df: DataFrame, keys: Sequence[str], path: str, fraction: float = 0.01, seed: int = 14
+    df: DataFrame,
+    keys: Sequence[str],
+    path: str,
+    fraction: float = 1.0,
+    seed: int = models.PARTICLES_SEED,
+    thin_test: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Sample, split 70 to 30 and write both parts below `path`; returns readers of them."""
-    train, test = random_split(sample(df, fraction, keys, seed), [0.7, 0.3], keys, seed + 1)
+    """Split 70 to 30, keep `fraction` of the training part, write both parts below `path`.
+
+    The test part is thinned as well only with `thin_test`. Returns readers of both.
+    """
+    train, test = random_split(df, [0.7, 0.3], keys, seed + 1)
+    train = sample(train, fraction, keys, seed)
+    test = sample(test, fraction, keys, seed) if thin_test else test
     return snapshot(train, f"{path}/train"), snapshot(test, f"{path}/test")
 
 
@@ -46,18 +56,26 @@ def run_classifiers(
     keys: Sequence[str],
     label_col: str = "label",
     grids: Mapping[str, Mapping[str, Sequence]] | None = None,
-    fraction: float = 0.01,
+    fraction: float = 1.0,
     folds: int = 5,
     path: str | None = None,
     parallelism: int = 8,
+    thin_test: bool = False,
 ) -> ClassifierRun:
-    """Tune each model on the training part, report accuracy, F1 and AUC on the test part."""
+    """Tune each model on the training part, report accuracy, F1 and AUC on the test part.
+
+    `fraction` is the share of the training rows that is used, which bounds the fits; all test
+    rows are measured unless `thin_test`. Both parts are written to `path`, a folder that all
+    executors share, by default one below `spark.checkpoint.dir`. A table without a key of its
+    own is split by all its columns as `keys`; equal rows then share a part.
+    """
     grids = FULL_GRIDS if grids is None else grids
     path = path or scratch_path(df.sparkSession, "particles")
-    narrow = df.select(*keys, label_col, *[F.col(f"`{f}`") for f in features])
-    train, test = subsets(narrow, keys, path, fraction)
+    used = dict.fromkeys([*keys, label_col, *features])
+    narrow = df.select(*[F.col(f"`{c}`") for c in used])
+    train, test = subsets(narrow, keys, path, fraction, thin_test=thin_test)
     assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
-    train = assembler.transform(train).select(*keys, label_col, FEATURES)
+    train = assembler.transform(train)
     test = assembler.transform(test).select(label_col, FEATURES)
     estimators = {
         "random_forest": models.random_forest(label_col),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,26 +51,25 @@ def snapshot(df: DataFrame, path: str) -> DataFrame:
 
 
 def shared_directory(spark: SparkSession) -> str:
-    """The folder all executors share: `spark.checkpoint.dir`.
-
-    Local sessions, where driver and executors are one process, may leave it
-    unset and get a temporary folder; a cluster may not.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder that all executors share: `spark.checkpoint.dir`, or what the context's
+    checkpoint folder was set to."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="tidemark-")
+    return configured.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other call gets."""
-    return f"{shared_directory(spark)}/{name}-{uuid.uuid4().hex}"
+def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A path that no other call gets, in the given folder or in the shared one."""
+    return f"{folder or shared_directory(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Let iterative training cut its lineage; keeps a folder that is already set."""
+    """Let iterative training cut its lineage where `spark.checkpoint.dir` is set.
+
+    Keeps a folder that the context has; without any, training runs with its whole lineage.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_directory(spark))
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None and configured:
+        context.setCheckpointDir(configured)
