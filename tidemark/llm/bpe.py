@@ -2,7 +2,7 @@
 
 Frequent words of the texts, counted over all of them, are compiled with their ids into a minimal
 acyclic transducer, which every task memory-maps. A block's distinct pieces walk through it
-together; the few that it does not know are merged exactly, pair by pair.
+together; those that it does not know are merged exactly, pair by pair, many side by side.
 
 The vocabulary file is that of a public tokenizer: NFC, lower case, pieces cut by its pattern,
 bytes as printable characters, an end-of-word mark. Its special strings in a text are tokens.
@@ -19,14 +19,17 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import lexicon as lex
 from tidemark.llm.words import NOT_SPACE, Words, blocks, byte_class, find_words, word_hashes
 
 #: Most words that are compiled; it bounds the transducer, not what can be encoded.
 LEXICON_WORDS = 60_000
-#: Merged words that a task remembers before it forgets them all.
-REMEMBERED = 400_000
+#: Pieces that are merged side by side, and the longest that are.
+MERGED_ROWS, MERGED_LENGTH = 4096, 64
+#: Larger blocks have fewer distinct words for their size.
+BLOCK = 1 << 20
 
 _LETTERS = byte_class(bytes([*range(97, 123), *range(0x80, 0x100)]))
 _END = "</w>"
@@ -96,7 +99,7 @@ def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS) -> list[bytes]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, times = [], []
-            for block in blocks(batch.column("text"), lower=True):
+            for block in blocks(batch.column("text"), lower=True, size=BLOCK):
                 words = find_words(block, _LETTERS)
                 _, first, counts = np.unique(word_hashes(block, words), return_index=True, return_counts=True)
                 data = block.data.tobytes()
@@ -131,101 +134,184 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) + np.repeat(starts - skipped, sizes)
 
 
+class Merges:
+    """The merge rules as tables over ids, applied to many pieces at once."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary, ids = vocabulary, vocabulary.ids
+        self.width = max(ids.values()) + 1
+        found = sorted(
+            (ids[a] * self.width + ids[b], rank, ids[a + b])
+            for (a, b), rank in vocabulary.rank.items()
+            if a in ids and b in ids and a + b in ids
+        )
+        table = np.array(found, np.int64).reshape(-1, 3)
+        self.keys, self.ranks, self.joined = table[:, 0].copy(), table[:, 1].astype(np.int32), table[:, 2].astype(np.int32)
+        self.inner = np.array([ids[c] for c in vocabulary.characters], np.int32)
+        self.last = np.array([ids[c + _END] for c in vocabulary.characters], np.int32)
+
+    def _rules(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, joined id) of pairs; the rank of a pair without a rule is `_NEVER`."""
+        key = left.astype(np.int64) * self.width + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        known = (self.keys[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(known, self.ranks[at], _NEVER), self.joined[at]
+
+    def apply(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of the pieces, one after the other."""
+        sizes = np.zeros(len(pieces), np.int64)
+        found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(pieces)
+        order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
+        while order and len(pieces[order[-1]]) > MERGED_LENGTH:
+            long = order.pop()
+            found[long] = np.array(self.vocabulary.merge(pieces[long].decode()), np.int32)
+            sizes[long] = len(found[long])
+        for begin in range(0, len(order), MERGED_ROWS):
+            rows = order[begin : begin + MERGED_ROWS]
+            symbols, lengths = self._together([pieces[i] for i in rows])
+            sizes[rows] = lengths
+            for i, row, length in zip(rows, symbols, lengths.tolist(), strict=True):
+                found[i] = row[:length]
+        return np.concatenate([np.zeros(0, np.int32), *found]), sizes
+
+    def _together(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols (padded with -1) and lengths; each step joins every row's foremost best pair."""
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        width = int(lengths.max())
+        data = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)
+        place = np.arange(width)
+        symbols = np.where(place < lengths[:, None], self.inner[data], -1)
+        rows = np.arange(len(pieces))
+        symbols[rows, lengths - 1] = self.last[data[rows, lengths - 1]]
+        symbols = np.hstack([symbols, np.full((len(pieces), 1), -1, symbols.dtype)])
+        ranks, joined = self._rules(symbols[:, :-1], symbols[:, 1:])
+        done, ends = symbols.copy(), lengths.copy()
+        while len(rows):
+            at = ranks.argmin(1)
+            each = np.arange(len(rows))
+            going = ranks[each, at] != _NEVER
+            stopped = ~going
+            done[rows[stopped], : symbols.shape[1]], ends[rows[stopped]] = symbols[stopped], lengths[stopped]
+            if stopped.any():
+                rows, symbols, ranks, joined, lengths, at = (x[going] for x in (rows, symbols, ranks, joined, lengths, at))
+                each = np.arange(len(rows))
+            if not len(rows):
+                break
+            new = joined[each, at]
+            after = place[: symbols.shape[1] - 1] >= at[:, None] + 1
+            symbols[:, :-1] = np.where(after, symbols[:, 1:], symbols[:, :-1])
+            symbols[:, -1] = -1
+            symbols[each, at] = new
+            shifted = place[: ranks.shape[1] - 1] >= at[:, None] + 1
+            for table, empty in ((ranks, _NEVER), (joined, 0)):
+                table[:, :-1] = np.where(shifted, table[:, 1:], table[:, :-1])
+                table[:, -1] = empty
+            lengths = lengths - 1
+            ranks[each, at], joined[each, at] = self._rules(new, symbols[each, at + 1])
+            inside = np.flatnonzero(at > 0)
+            before = at[inside] - 1
+            ranks[inside, before], joined[inside, before] = self._rules(symbols[inside, before], new[inside])
+        return done, ends
+
+
+_NEVER = np.int32(1 << 30)
+
+
 class Encoder:
     def __init__(self, vocabulary: Vocabulary, lexicon: lex.Lexicon) -> None:
-        self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.merged: dict[str, list[int]] = {}
-
-    def pieces(self, pieces: list[str]) -> dict[str, Sequence[int]]:
-        """Ids of distinct pieces."""
-        ranks = self.lexicon.ranks([p.encode() for p in pieces])
-        at, ids = self.lexicon.at, self.lexicon.ids
-        out: dict[str, Sequence[int]] = {}
-        for piece, rank in zip(pieces, ranks.tolist(), strict=True):
-            if rank >= 0:
-                out[piece] = ids[at[rank] : at[rank + 1]].tolist()
-                continue
-            if piece not in self.merged:
-                if len(self.merged) >= REMEMBERED:
-                    self.merged.clear()
-                self.merged[piece] = self.vocabulary.merge(piece)
-            out[piece] = self.merged[piece]
-        return out
-
-    def words(self, words: list[str]) -> list[list[int]]:
-        """Ids of distinct words without white space between."""
-        special = {}
-        plain = []
-        for number, word in enumerate(words):
-            if "<|" in word and len(parts := self.vocabulary.specials.split(word)) > 1:
-                special[number] = len(plain), parts
-                plain += parts
-            else:
-                plain.append(word)
-        cut = self.vocabulary.cut("\n".join(plain))
-        ids = self.pieces([p for p in set(cut) if p != "\n"])
-        encoded: list[list[int]] = [[]]
-        for piece in cut:
-            if piece == "\n":
-                encoded.append([])
-            else:
-                encoded[-1] += ids[piece]
-        if not special:
-            return encoded
-        out, at = [], 0
-        for number in range(len(words)):
-            if number in special:
-                _, parts = special[number]
-                known = self.vocabulary.special
-                out.append([i for k, p in enumerate(parts) for i in ([known[p]] if p in known else encoded[at + k])])
-                at += len(parts)
-            else:
-                out.append(encoded[at])
-                at += 1
-        return out
+        self.vocabulary, self.lexicon, self.merges = vocabulary, lexicon, Merges(vocabulary)
+
+    def pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pool, starts, sizes): where the ids of distinct pieces are."""
+        data = [p.encode() for p in pieces]
+        ranks = self.lexicon.ranks(data)
+        unknown = np.flatnonzero(ranks < 0)
+        merged, merged_sizes = self.merges.apply([data[i] for i in unknown])
+        at, known = self.lexicon.at, len(self.lexicon.ids)
+        starts, sizes = at[ranks], at[np.minimum(ranks + 1, len(at) - 1)] - at[ranks]
+        starts[unknown], sizes[unknown] = known + np.cumsum(merged_sizes) - merged_sizes, merged_sizes
+        return np.concatenate([self.lexicon.ids, merged.astype(np.uint32)]), starts, sizes
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pool, starts, sizes): where the ids of distinct words without white space are."""
+        special = {i: parts for i, w in enumerate(words) if "<|" in w and len(parts := self.vocabulary.specials.split(w)) > 1}
+        cut = self.vocabulary.cut("\n".join("" if i in special else w for i, w in enumerate(words)) if special else "\n".join(words))
+        number: dict[str, int] = {}
+        codes = np.fromiter((number.setdefault(p, len(number)) for p in cut), np.int64, len(cut))
+        breaks = codes == number.get("\n", -1)
+        pool, starts, sizes = self.pieces(["" if p == "\n" else p for p in number])
+        codes, owner = codes[~breaks], np.cumsum(breaks)[~breaks]
+        flat = pool[_ragged(starts[codes], sizes[codes])]
+        of_words = np.bincount(owner, weights=sizes[codes], minlength=len(words)).astype(np.int64)
+        starts = np.cumsum(of_words) - of_words
+        for i, parts in special.items():
+            ids = [self.vocabulary.special[p] if p in self.vocabulary.special else p for p in parts]
+            ids = np.array([x for p in ids for x in ([p] if isinstance(p, int) else self.one(p))], np.uint32)
+            starts[i], of_words[i] = len(flat), len(ids)
+            flat = np.concatenate([flat, ids])
+        return flat, starts, of_words
+
+    def one(self, text: str) -> list[int]:
+        return self.words([text])[0].tolist() if text else []
 
     def block(self, data: bytes, words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, sizes): ids of all words in their order, and how many each has."""
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if not len(first):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         texts = [
             data[a:b].decode("utf-8", "replace")
             for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)
         ]
-        encoded = self.words(texts) if texts else []
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for e in encoded for i in e), np.uint32, int(sizes.sum()))
-        starts = np.cumsum(sizes) - sizes
-        return flat[_ragged(starts[which], sizes[which])], sizes[which]
+        pool, starts, sizes = self.words(texts)
+        return pool[_ragged(starts[which], sizes[which])], sizes[which]
+
+
+def _tables(docs: DataFrame, vocabulary_file: str, lexicon_words: int) -> tuple:
+    with open(vocabulary_file, encoding="utf-8") as file:
+        text = file.read()
+    compiled = compile_words(frequent_words(docs, lexicon_words), Vocabulary(text))
+    context = docs.sparkSession.sparkContext
+    return context.broadcast(lex.pack(compiled)), context.broadcast(text)
 
 
-def encode(docs: DataFrame, vocabulary_file: str, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
+def _packed(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary column of rows that end at `ends`."""
+    places, data = pa.py_buffer((ends * 4).astype(np.int64)), pa.py_buffer(ids.astype("<u4"))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, places, data]).cast(pa.binary())
+
+
+def _texts(ids: pa.Array, token) -> pa.Array:
+    """The tokens of each row's ids with one space between."""
+    buffers = (row.as_buffer() for row in ids)
+    texts = [None if b is None else b" ".join(map(token, np.frombuffer(b, "<u4").tolist())) for b in buffers]
+    return pa.array(texts, pa.binary()).cast(pa.string())
+
+
+def encode(docs: DataFrame, vocabulary_file: str, lexicon_words: int = LEXICON_WORDS, decoded: bool = False) -> DataFrame:
     """doc_id, ids of every row of docs (doc_id, text): unsigned 32-bit integers, little end first.
 
+    With `decoded` a column of that name has what `decode` makes of the ids, in the same pass.
     Null and blank texts have no ids. Special strings of the file become their ids; no others are
-    added. Repeated rows each get their result.
+    added. Repeated rows each get their result; an empty table gives none.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    with open(vocabulary_file, encoding="utf-8") as file:
-        text = file.read()
-    compiled = compile_words(frequent_words(docs, lexicon_words), Vocabulary(text))
-    context = docs.sparkSession.sparkContext
-    tables, source = context.broadcast(lex.pack(compiled)), context.broadcast(text)
+    tables, source = _tables(docs, vocabulary_file, lexicon_words)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(source.value), lex.mapped(tables.value))
+        vocabulary = Vocabulary(source.value)
+        encoder, token = Encoder(vocabulary, lex.mapped(tables.value)), vocabulary.tokens().__getitem__
         for batch in batches:
-            for block in blocks(batch.column("text")):
+            for block in blocks(batch.column("text"), size=BLOCK):
                 words = find_words(block, NOT_SPACE)
                 ids, sizes = encoder.block(block.data.tobytes(), words, word_hashes(block, words))
-                ends = np.concatenate([[0], np.cumsum(sizes)])[words.at] * 4
-                packed = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), block.rows, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids.astype("<u4"))]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(block.first, block.rows), packed.cast(pa.binary())], ["doc_id", "ids"]
-                )
+                packed = _packed(ids, np.concatenate([[0], np.cumsum(sizes)])[words.at])
+                columns = {"doc_id": batch.column("doc_id").slice(block.first, block.rows), "ids": packed}
+                if decoded:
+                    columns["decoded"] = _texts(packed, token)
+                yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.mapInArrow(rows, "doc_id long, ids binary")
+    return docs.mapInArrow(rows, "doc_id long, ids binary" + ", decoded string" * decoded)
 
 
 def decode(encoded: DataFrame, vocabulary_file: str) -> DataFrame:
@@ -238,16 +324,12 @@ def decode(encoded: DataFrame, vocabulary_file: str) -> DataFrame:
         tokens = encoded.sparkSession.sparkContext.broadcast(Vocabulary(file.read()).tokens())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = tokens.value.__getitem__
+        known = tokens.value
+        token = lambda i: known[i] if i < len(known) else b""
         for batch in batches:
-            texts = []
-            for ids in batch.column("ids"):
-                data = ids.as_buffer()
-                texts.append(None if data is None else b" ".join(map(token, np.frombuffer(data, "<u4").tolist())))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.binary()).cast(pa.string())], [*batch.schema.names, "decoded"]
+                [*batch.columns, _texts(batch.column("ids"), token)], [*batch.schema.names, "decoded"]
             )
 
     kept = encoded.drop("decoded")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(rows, f"{schema}, decoded string")
+    return kept.mapInArrow(rows, T.StructType([*kept.schema.fields, T.StructField("decoded", T.StringType())]))

@@ -68,8 +68,7 @@ def vocabulary_path() -> str:
 
 
 def op4_bpe(spark: SparkSession, directory: str) -> DataFrame:
-    encoded = bpe.encode(read_table(spark, directory, "documents"), vocabulary_path())
-    return bpe_digests(bpe.decode(encoded, vocabulary_path()))
+    return bpe_digests(bpe.encode(read_table(spark, directory, "documents"), vocabulary_path(), decoded=True))
 
 
 def bpe_digests(decoded: DataFrame) -> DataFrame:

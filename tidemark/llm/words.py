@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 #: Rows are worked on in blocks of about this many bytes; one longer row is a block of its own.
-BLOCK_BYTES = 1 << 20
+#: A block's arrays of numbers take some hundred times as much.
+BLOCK_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -66,15 +67,16 @@ class Words:
         return np.repeat(np.arange(len(self.at) - 1), self.counts)
 
 
-def blocks(texts: pa.Array, lower: bool = False) -> Iterator[Block]:
-    """Cut a string column into blocks of whole rows."""
+def blocks(texts: pa.Array, lower: bool = False, size: int | None = None) -> Iterator[Block]:
+    """Cut a string column into blocks of whole rows, of about `size` bytes."""
+    size = size or BLOCK_BYTES
     texts = texts.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     row = 0
     while row < len(texts):
-        end = int(np.searchsorted(offsets, offsets[row] + BLOCK_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1
         end = min(max(end, row + 1), len(texts))
         part = data[offsets[row] : offsets[end]]
         yield Block(row, LOWER[part] if lower else part, offsets[row : end + 1] - offsets[row])
