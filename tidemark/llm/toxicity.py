@@ -18,7 +18,7 @@ from tidemark.llm.boosting import Trees, fit_trees
 from tidemark.llm.learning import SAMPLE_ROWS, labelled_ids, sample
 from tidemark.llm.statistics import running
 from tidemark.llm.words import LOWER, NOT_SPACE, Block, Words, blocks, byte_class, find_words, word_hashes
-from tidemark.sources.files import scratch_path, snapshot
+from tidemark.sources.cache import kept
 
 # Common English insults, and words that address the reader in four languages.
 INSULTS = (
@@ -174,7 +174,7 @@ def learn_words(rows: DataFrame) -> list[str]:
                 yield pa.RecordBatch.from_arrays([pa.array(map(sorted, lists), pa.list_(pa.int32()))], ["held"])
 
     # One row per sampled text at most: the sample is bounded.
-    held = [set(r.held) for r in rows.filter("label = 1").select("text").mapInArrow(hold, "held array<int>").distinct().collect()]
+    held = [set(r.held) for r in rows.filter("label = 1").select("text").distinct().mapInArrow(hold, "held array<int>").collect()]
     taken: list[str] = []
     while held and len(taken) < LEARNED_WORDS:
         times = np.bincount([i for h in held for i in h], minlength=len(candidates))
@@ -226,8 +226,7 @@ def toxicity_scores(docs: DataFrame, training: DataFrame, most: int = SAMPLE_ROW
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     chosen = sample(labelled_ids(training, "toxic"), most)  # at most `most` rows of two numbers
-    rows = snapshot(docs.join(F.broadcast(chosen), "doc_id"), scratch_path(docs.sparkSession, "toxicity"))
-    features = Features(learn_words(rows))
+    rows = docs.join(F.broadcast(chosen), "doc_id")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,8 +235,10 @@ def toxicity_scores(docs: DataFrame, training: DataFrame, most: int = SAMPLE_ROW
                 values = pa.array(list(features(block)), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), values], ["doc_id", "label", "values"])
 
-    found = rows.mapInArrow(measure, "doc_id long, label int, values array<double>")
-    found = sample(found.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))), most).toArrow()
+    with kept(rows):
+        features = Features(learn_words(rows))
+        found = rows.mapInArrow(measure, "doc_id long, label int, values array<double>")
+        found = sample(found.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))), most).toArrow()
     labels = found.column("label").to_numpy().astype(float)
     values = np.array(found.column("values").to_pylist(), float).reshape(len(labels), len(FEATURES))
     both = 0 < labels.sum() < len(labels)
