@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.files import scratch_path, snapshot
+from tidemark.sources.files import scratch_path
 
 
 @dataclass(frozen=True)
@@ -112,11 +112,10 @@ def update(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) ->
     """Scan what the ledger lacks; returns (doc_id, blob) of every row of docs (doc_id, text).
 
     Texts are fetched by one row for each unseen blob, so those of seen blobs and further copies are
-    never shuffled.
+    never scanned.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    folder = scratch_path(docs.sparkSession, "secrets")
-    paths = snapshot(docs.select("doc_id", _blob(F.col("text")).alias("blob")), f"{folder}/paths")
+    paths = docs.select("doc_id", _blob(F.col("text")).alias("blob"))
     wanted = F.array(*[F.lit(r.name) for r in rules])
     missing = (
         paths.groupBy("blob")
@@ -126,7 +125,6 @@ def update(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) ->
         .filter("size(rules) > 0")
         .select("at", F.col("blob").alias("wanted"), "rules")
     )
-    missing = snapshot(missing, f"{folder}/missing")
     texts = docs.join(missing, F.col("doc_id").eqNullSafe(F.col("at"))).filter(_blob(F.col("text")) == F.col("wanted"))
     ledger.append(scan(texts.select(F.col("wanted").alias("blob"), "text", "rules"), rules))
     return paths
@@ -138,9 +136,10 @@ def findings(paths: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES)
     found = ledger.read().filter("size(spans) > 0").select("blob", F.explode("spans").alias("s")).select("blob", "s.*")
     placed = F.struct(F.col("start"), kinds[F.col("kind")].alias("place"), F.col("stop"), F.col("kind"))
     found = found.filter(F.col("kind").isin([r.kind for r in rules])).groupBy("blob").agg(F.sort_array(F.collect_set(placed)).alias("spans"))
-    found = snapshot(found, scratch_path(paths.sparkSession, "findings"))
     spans = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
-    return paths.join(found, "blob", "left").select(
+    # A further join column has both sides shuffled, so that a blob of very many paths can be split.
+    hashed = lambda df: df.withColumn("_hash", F.xxhash64("blob"))
+    return hashed(paths).join(hashed(found), ["blob", "_hash"], "left").select(
         "doc_id", "blob", F.coalesce(spans, F.array().cast(SPANS)).alias("spans")
     )
 
