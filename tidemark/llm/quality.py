@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.learning import labelled_ids
 from tidemark.llm.quality_rules import matrix
 from tidemark.llm.statistics import COUNTS, count_table
-from tidemark.sources.files import scratch_path, snapshot
 
 #: Shares of the pooled covariance and of the mean variance in a class's covariance.
 POOLED, ROUND = 0.1, 0.02
@@ -97,7 +96,7 @@ def quality_scores(docs: DataFrame, training: DataFrame) -> DataFrame:
     scored by their statistics, which are 0. Repeated rows each get their score, and an id that is
     repeated teaches with all its texts. Unless both labels occur, the score is 0.5.
     """
-    statistics = snapshot(count_table(docs), scratch_path(docs.sparkSession, "statistics"))
+    statistics = count_table(docs)
     model = fit_discriminant(statistics.join(labelled_ids(training, "quality"), "doc_id").select("label", *COUNTS))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
