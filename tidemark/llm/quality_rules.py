@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.boosting import Trees, fit_trees
 from tidemark.llm.learning import SAMPLE_ROWS, labelled_ids, sample
 from tidemark.llm.statistics import COUNTS, count_table, ratios
-from tidemark.sources.files import scratch_path, snapshot
 
 MONOTONE = {"symbols": -1, "bangs": -1, "dup_lines": -1, "repeats": -1, "top_word": -1, "caps_words": -1, "odd_words": -1, "distinct": 1}
 #: Texts that score lower are not kept.
@@ -31,7 +30,8 @@ def matrix(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, list[str]]:
 
 def fit_rules(statistics: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> Trees:
     """Trees for label 1 from at most `most` labelled rows of a table with the COUNTS columns."""
-    rows = sample(statistics.join(labelled_ids(labels, "quality"), "doc_id"), most).toArrow()
+    chosen = sample(labelled_ids(labels, "quality"), most)  # at most `most` rows of two numbers
+    rows = sample(statistics.join(F.broadcast(chosen), "doc_id"), most).toArrow()
     features, names = matrix(rows)
     monotone = {names.index(name): sign for name, sign in MONOTONE.items()}
     return fit_trees(features, rows.column("label").to_numpy().astype(float), monotone)
@@ -63,5 +63,6 @@ def quality_rules(docs: DataFrame, training: DataFrame, most: int = SAMPLE_ROWS)
     rules. Repeated rows each get their result, and an id that is repeated may be sampled with any of
     its texts. Without labels the score is 0.5 everywhere and only the base rules decide.
     """
-    statistics = snapshot(count_table(docs), scratch_path(docs.sparkSession, "statistics"))
-    return judge(statistics, fit_rules(statistics, training, most))
+    chosen = sample(labelled_ids(training, "quality"), most)  # at most `most` rows of two numbers
+    labelled = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
+    return judge(count_table(docs), fit_rules(count_table(labelled), training, most))
