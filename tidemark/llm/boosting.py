@@ -51,7 +51,7 @@ def fit_trees(
     rate: float = 0.2,
     bins: int = 64,
     penalty: float = 1.0,
-    least: float = 0.3,
+    least: float = 1.0,
 ) -> Trees:
     """`least` is the smallest sum of second derivatives in a leaf; without rows the odds are even."""
     n, width = rows.shape

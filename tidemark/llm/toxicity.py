@@ -126,12 +126,18 @@ def _distinct_words(block: Block) -> tuple[Block, Words, np.ndarray, np.ndarray]
     return small, words, first, rows[first]
 
 
-def learn_words(rows: DataFrame) -> list[str]:
-    """Words that mark label 1 in rows (text, label).
+#: A text is explained by so many learned words.
+EXPLAINED = 3
 
-    Candidates are those far more frequent, by texts, under label 1. Of them words are taken one by
+
+def learn_words(rows: DataFrame, insults: Sequence[str] = INSULTS) -> tuple[list[str], list[str]]:
+    """(words that mark label 1, those of `insults` that stay) from rows (text, label).
+
+    Candidates are words far more frequent, by texts, under label 1. Of them words are taken one by
     one, each time the one found in most texts not yet explained, so that the other words of a copied
-    toxic text are not taken for insults.
+    toxic text are not taken for insults. A given insult goes if the texts use it without being toxic,
+    as happens with words that mean something else in another language. Without both labels nothing is
+    learned and all insults stay.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,14 +157,17 @@ def learn_words(rows: DataFrame) -> list[str]:
 
     n = rows.agg(F.sum("label").alias("yes"), F.sum(1 - F.col("label")).alias("no")).first()
     if not n.yes or not n.no:
-        return []
+        return [], list(insults)
     counted = rows.mapInArrow(count, "word binary, yes long, no long").groupBy("word").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
     odds = (F.col("yes") + 0.5) / n.yes / ((F.col("no") + 0.5) / n.no)
     least = max(3, n.yes // 400)
+    given = counted.filter(F.col("word").isin([w.encode() for w in insults])).withColumn("odds", odds)
+    harmless = {bytes(r.word).decode() for r in given.filter("no > 0 and odds < 5").collect()}
+    insults = [w for w in insults if w not in harmless]
     picked = counted.filter(F.col("yes") >= least).withColumn("odds", odds).filter("odds >= 20")
     candidates = [bytes(r.word).decode("utf-8", "replace") for r in picked.orderBy(F.desc("yes"), "word").limit(CANDIDATES).collect()]
     if not candidates:
-        return []
+        return [], insults
     by_hash = {int(hashes_of([w])[0]): i for i, w in enumerate(candidates)}
     known = np.array(sorted(by_hash), np.uint64)
 
@@ -174,16 +183,16 @@ def learn_words(rows: DataFrame) -> list[str]:
                 yield pa.RecordBatch.from_arrays([pa.array(map(sorted, lists), pa.list_(pa.int32()))], ["held"])
 
     # One row per sampled text at most: the sample is bounded.
-    held = [set(r.held) for r in rows.filter("label = 1").select("text").distinct().mapInArrow(hold, "held array<int>").collect()]
+    held = [(set(r.held), EXPLAINED) for r in rows.filter("label = 1").select("text").distinct().mapInArrow(hold, "held array<int>").collect()]
     taken: list[str] = []
     while held and len(taken) < LEARNED_WORDS:
-        times = np.bincount([i for h in held for i in h], minlength=len(candidates))
+        times = np.bincount([i for h, _ in held for i in h], minlength=len(candidates))
         best = int(times.argmax())
         if times[best] < least:
             break
         taken.append(candidates[best])
-        held = [h for h in held if best not in h]
-    return taken
+        held = [(h - {best}, left - (best in h)) for h, left in held if left > (best in h)]
+    return taken, insults
 
 
 def isotonic(scores: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -236,7 +245,7 @@ def toxicity_scores(docs: DataFrame, training: DataFrame, most: int = SAMPLE_ROW
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), values], ["doc_id", "label", "values"])
 
     with kept(rows):
-        features = Features(learn_words(rows))
+        features = Features(*learn_words(rows))
         found = rows.mapInArrow(measure, "doc_id long, label int, values array<double>")
         found = sample(found.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))), most).toArrow()
     labels = found.column("label").to_numpy().astype(float)
