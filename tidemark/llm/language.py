@@ -103,7 +103,7 @@ def _arcs(group: pa.Table) -> pa.Table:
 @dataclass
 class Parser:
     """All automata in one table. A cell holds where its next state's cells begin, or, inverted,
-    where a new phrase goes on that begins with the symbol."""
+    where a new phrase goes on that begins with the symbol; from a root every symbol begins one."""
 
     languages: list[str]
     symbol: np.ndarray
@@ -124,7 +124,7 @@ class Parser:
         symbols = np.append(self.symbol[symbols], np.zeros(PIECE, np.int32))
         active = np.searchsorted(-length, -np.arange(PIECE), "left")
         at = np.repeat(self.roots[:, None], len(row), 1)
-        count = np.ones(at.shape, np.int32)
+        count = np.zeros(at.shape, np.int32)
         for step in range(int(length[0]) if len(length) else 0):
             n = active[step]
             cell = self.table[at[:, :n] + symbols[begin[:n] + step]]
@@ -173,7 +173,7 @@ def learn(labelled: DataFrame) -> Parser:
         table[a[:, 0], symbol[a[:, 1]]] = begin + a[:, 2].astype(np.int64) * width
         start = np.where(table[0] >= 0, table[0], begin)
         table = np.where(table >= 0, table, ~start)
-        table[0] = np.where(table[0] >= 0, table[0], ~begin)
+        table[0] = ~start
         tables.append(table.astype(np.int32).ravel())
         roots.append(begin)
         begin += states * width
