@@ -139,7 +139,7 @@ def test_isotonic_is_rising_and_keeps_the_mean():
 
 def test_learned_words_explain_toxic_texts(spark):
     copied = "alpha beta gamma grumpf delta"
-    rows = [(copied, 1)] * 20 + [(f"filler{i} grumpf words", 1) for i in range(20)] + [(f"the quiet text {i}", 0) for i in range(60)]
+    rows = [(copied, 1)] * 20 + [(f"filler{i} grumpf words", 1) for i in range(20)] + [(f"the quiet filler{i} words", 0) for i in range(60)]
     rows += [("a vile town", 0)] * 2
     learned, insults = toxicity.learn_words(spark.createDataFrame(rows, "text string, label int"))
     assert learned == ["grumpf"] and "vile" not in insults and "idiot" in insults
