@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.words import mix
+
 #: No filter is larger than 2**26 bits (8 MB), whatever it holds; a full one lets more through.
 MAX_BITS_LOG2 = 26
 _CHUNK_LOG2 = 16  # bits of a chunk that one task fills
@@ -33,6 +35,17 @@ class Bloom:
         return (self.bytes[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
+def build_ids(ids: DataFrame, column: str) -> Bloom:
+    """Filter of a column of whole numbers, to be asked for `mix` of them."""
+
+    def mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = mix(batch.column(0).drop_null().to_numpy().view(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(values)], ["h"])
+
+    return build(ids.select(column).mapInArrow(mixed, "h long"), "h")
+
+
 def build(hashes: DataFrame, column: str) -> Bloom:
     """Filter of a column of hashes. Chunks of bits are filled in tasks; the driver joins them."""
     hashes = hashes.select(F.col(column).alias("h"))

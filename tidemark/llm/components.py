@@ -28,22 +28,21 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Null ends and loops are ignored; repeated and reversed edges count once. No edges give no rows.
     """
-    spark = edges.sparkSession
-    folder = scratch_path(spark, "components")
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), F.col(a).alias("_a"), F.col(b).alias("_b"))
     pairs = pairs.filter("_a is not null and _b is not null and u <> v").select("u", "v").distinct()
+    folder = scratch_path(edges.sparkSession, "components")
     pairs = snapshot(pairs, f"{folder}/0")
     before, round_ = None, 0
     while True:
         state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
-            return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-                pairs.select("v", "v").distinct()
-            )
+            roots = pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            return roots.union(pairs.select("v", "v").distinct())
         before, round_ = state, round_ + 1
         both = pairs.union(pairs.select("v", "u"))
         large = _with_minimum(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v").distinct()
         small = _with_minimum(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", "m"))
+        # Written and read back each round: plans stay short, and lost executors cost no round.
         pairs = snapshot(small.filter("u <> v").distinct(), f"{folder}/{round_}")

@@ -9,7 +9,7 @@ overlap is counted in each fragment separately and the counts are summed per pai
    a class's shingles another class has too, and sums. A class with fewer than the threshold's
    share of such shingles cannot link: most texts end here, and only 32 bits of each shingle are
    shuffled for it (a clash of two can only keep a class too many).
-3. `ordered_sets` takes the rest back by its texts, with whole 64-bit shingles, in the global order:
+3. `ordered_sets` makes the sets of the rest again, with whole 64-bit shingles, in the global order:
    the power of two below the number of classes that hold the shingle, then its hash.
 4. `_entries` are the prefixes: two sets that link share a shingle whose places in both leave
    enough room for the overlap (the positional bound covers the length bound).
@@ -33,12 +33,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import bloom
 from tidemark.llm.components import connected_components
 from tidemark.llm.words import blocks, mix, shingle_sets
+from tidemark.sources.cache import kept as kept_in_memory
 from tidemark.sources.files import scratch_path, snapshot
 
 #: Shingles of a fragment when classes are counted; a task holds about six bytes of each.
-FRAGMENT_SHINGLES = 4_000_000
+FRAGMENT_SHINGLES = 2_500_000
+SLICES_LOG2 = 3
 #: Equal steps of the hash at which each level of the global order is cut.
 STEPS = 2
 
@@ -88,6 +91,8 @@ def _segments(docs: DataFrame, size: int, bits: int) -> DataFrame:
             fragment, owner = fragment[order], owner[order]
             rest = ((hashes[order] >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             found, at = np.unique(fragment, return_index=True)
+            if not len(found):
+                continue
             columns: list[list] = [[], [], []]
             for begin, end in zip(at, [*at[1:], len(fragment)], strict=True):
                 who, sizes = np.unique(owner[begin:end], return_counts=True)
@@ -103,21 +108,28 @@ def _segments(docs: DataFrame, size: int, bits: int) -> DataFrame:
 
 
 def _count_shared(group: pa.Table) -> pa.Table:
-    """name, shared: in one fragment, how many of a class's shingles another class has too."""
+    """name, shared: in one fragment, how many of a class's shingles another class has too.
+
+    The fragment is worked on in slices of its hashes, so that little more than itself is in memory.
+    """
 
     def column(name: str, kind: type) -> np.ndarray:
-        return np.concatenate([np.frombuffer(x, kind) for x in group.column(name).to_pylist()])
-
-    owner = np.repeat(column("names", np.int64), column("sizes", np.uint32))
-    names, owner = np.unique(owner, return_inverse=True)
-    shingles = column("shingles", np.uint32).astype(np.uint64)
-    keys = np.unique((shingles << np.uint64(32)) | owner.astype(np.uint64))
-    shingles = keys >> np.uint64(32)
-    same = shingles[1:] == shingles[:-1]
-    shared = np.zeros(len(keys), bool)
-    shared[1:] |= same
-    shared[:-1] |= same
-    counts = np.bincount((keys & np.uint64(0xFFFFFFFF)).astype(np.int64)[shared], minlength=len(names))
+        return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group.column(name)])
+
+    names, owner = np.unique(column("names", np.int64), return_inverse=True)
+    owner = np.repeat(owner.astype(np.uint32), column("sizes", np.uint32))
+    shingles = column("shingles", np.uint32)
+    slice_of = (shingles >> np.uint32(32 - SLICES_LOG2)).astype(np.uint8)
+    counts = np.zeros(len(names), np.int64)
+    for number in range(1 << SLICES_LOG2):
+        here = slice_of == number
+        keys = np.unique((shingles[here].astype(np.uint64) << np.uint64(32)) | owner[here])
+        found = keys >> np.uint64(32)
+        same = found[1:] == found[:-1]
+        shared = np.zeros(len(keys), bool)
+        shared[1:] |= same
+        shared[:-1] |= same
+        counts += np.bincount((keys[shared] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(names))
     held = counts > 0
     return pa.table({"name": names[held], "shared": counts[held]})
 
@@ -136,40 +148,49 @@ def shared_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int)
     return classes.join(counted, "name").filter(F.col("shared") * 100 >= F.col("n") * percent).drop("shared")
 
 
-def _set_rows(docs: DataFrame, size: int) -> DataFrame:
-    """name, shingles of rows with columns text and wanted, where the set is the wanted one."""
+def _set_rows(docs: DataFrame, size: int, wanted: bloom.Bloom) -> DataFrame:
+    """doc_id, name, shingles of the rows whose id the filter lets through, null ids included."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, (hashes, bounds, name, _) in _sets(batches, size):
-            hit = name == batch.column("wanted").to_numpy(zero_copy_only=False)
-            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(name), lists], ["name", "shingles"]).filter(pa.array(hit))
+        for batch in batches:
+            ids = batch.column("doc_id")
+            known = wanted.has(mix(ids.fill_null(0).to_numpy().view(np.uint64)))
+            chosen = batch.filter(pa.array(known | ids.is_null().to_numpy(zero_copy_only=False)))
+            for part, (hashes, bounds, name, _) in _sets(iter([chosen]), size):
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(name), lists], ["doc_id", "name", "shingles"])
 
-    return docs.mapInArrow(rows, "name long, shingles array<long>")
+    return docs.mapInArrow(rows, "doc_id long, name long, shingles array<long>")
 
 
 def ordered_sets(docs: DataFrame, kept: DataFrame, size: int, unique_ids: bool) -> DataFrame:
     """name, n, own, parts: shingles that no other kept set has are only counted (`own`), the rest
-    is listed in the global order as (level, shingle)."""
-    wanted = kept.select(F.col("rep").alias("_rep"), F.col("name").alias("wanted"))
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_rep"))).select("text", "wanted")
-    sets = _set_rows(texts, size)
+    is listed in the global order as (level, shingle).
+
+    Each kept class is taken back from one row. A filter of those rows' ids lets the scan drop nearly
+    all others before it makes sets, so that texts are not shuffled; the join then is exact.
+    """
+    wanted = bloom.build_ids(kept, "rep")
+    one = kept.select(F.col("rep").alias("doc_id"), "name")
+    sets = _set_rows(docs, size, wanted).alias("s").join(
+        one.alias("k"), (F.col("s.name") == F.col("k.name")) & F.col("s.doc_id").eqNullSafe(F.col("k.doc_id"))
+    )
+    sets = sets.select("s.name", "s.shingles")
     if not unique_ids:
         sets = sets.dropDuplicates(["name"])
-    folder = scratch_path(docs.sparkSession, "jaccard")
-    sets = snapshot(sets, f"{folder}/sets")
     single = sets.select("name", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     hashed = lambda df: df.withColumn("_h", F.xxhash64("shingle"))
     levels = single.groupBy("shingle").count().filter("count > 1")
     levels = levels.select("shingle", F.floor(F.log2("count")).cast("int").alias("level"))
-    return snapshot(
+    ordered = (
         hashed(single)
         .join(hashed(levels), ["shingle", "_h"])
         .groupBy("name", "n")
         .agg(F.sort_array(F.collect_list(F.struct("level", "shingle"))).alias("parts"))
-        .withColumn("own", F.col("n") - F.size("parts")),
-        f"{folder}/ordered",
+        .withColumn("own", F.col("n") - F.size("parts"))
     )
+    with kept_in_memory(sets):
+        return snapshot(ordered, scratch_path(docs.sparkSession, "jaccard-sets"))
 
 
 class _Bound:
@@ -255,7 +276,6 @@ def _cross_pairs(entries: DataFrame, roots: DataFrame) -> DataFrame:
         .filter("rival_small <= most and n <= rival_room")
         .drop("_h", "rival_small", "rival_room")
     )
-    left = snapshot(left, scratch_path(entries.sparkSession, "jaccard-cross"))
     return (
         _side(left, "_a")
         .join(_side(left, "_b"), ["shingle", "_h"])
@@ -303,20 +323,17 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     stats = snapshot(shingle_stats(docs, size), f"{folder}/stats")
     classes = stats.filter("n_shingles > 0").groupBy("n_shingles", "sig_a", "sig_b").agg(F.min("doc_id").alias("rep"))
     classes = classes.select(F.col("sig_a").alias("name"), F.col("n_shingles").alias("n"), "rep")
-    classes = snapshot(classes, f"{folder}/classes")
     kept = snapshot(shared_classes(docs, classes, size, percent), f"{folder}/kept")
     unique_ids = stats.groupBy("doc_id").count().filter("count > 1").isEmpty()
     sets = ordered_sets(docs, kept, size, unique_ids)
-    entries = snapshot(_entries(sets, bound), f"{folder}/entries")
-    links = snapshot(verified(_star_pairs(entries), sets, bound), f"{folder}/links/pass=1")
-    roots = connected_components(links)
+    entries = _entries(sets, bound)
+    roots = connected_components(verified(_star_pairs(entries), sets, bound))
     more = verified(_cross_pairs(entries, roots), sets, bound)
-    snapshot(more, f"{folder}/links/pass=2")
-    roots = connected_components(docs.sparkSession.read.parquet(f"{folder}/links"))
+    roots = connected_components(more.union(roots.select("node", "root")))
     named = classes.join(roots.select(F.col("node").alias("name"), "root"), "name", "left")
     named = named.withColumn("root", F.coalesce("root", "name"))
     smallest = named.groupBy("root").agg(F.min("rep").alias("component"))
-    named = snapshot(named.join(smallest, "root").select("name", "n", "component"), f"{folder}/named")
+    named = named.join(smallest, "root").select("name", "n", "component")
     return stats.join(
         named, (F.col("sig_a") == F.col("name")) & (F.col("n_shingles") == F.col("n")), "left"
     ).select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
