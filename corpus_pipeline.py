@@ -32,14 +32,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies stays: the one with the smallest id.
 
-    Rows that share that id stay too, unless their texts are equal; so do different texts of components
-    that have no id at all.
+    Documents without an id come last and count as one where their texts are equal. Rows that share
+    the smallest id stay, unless their texts are equal too.
     """
-    found = snapshot(jaccard_components(docs), scratch_path(spark, "near-duplicates"))
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    own = F.xxhash64("text").bitwiseAND(2**62 - 1).bitwiseOR(2**62)
+    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), own))
+    found = jaccard_components(rows.select(F.col("_id").alias("doc_id"), "text"))
+    found = snapshot(found, scratch_path(spark, "near-duplicates"))
+    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
     repeated = not found.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    return rows.dropDuplicates(["doc_id", "text"]) if repeated else rows
+    rows = rows.join(kept, "_id", "left_semi")
+    return (rows.dropDuplicates(["_id", "text"]) if repeated else rows).drop("_id").select(docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +66,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the kept texts and what they decode to, as digests."""
-    return bpe_digests(bpe.decode(bpe.encode(docs, vocabulary_path()), vocabulary_path()))
+    return bpe_digests(bpe.encode(docs, vocabulary_path(), decoded=True))
 
 
 STAGES: list[tuple[str, Stage]] = [
