@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.catalog.registry import Query
+from tidemark.catalog.registry import Query, ensure_scratch
 from tidemark.llm import bpe, language
 from tidemark.llm.catalog import bpe_digests, vocabulary_path
 from tidemark.llm.decontaminate import contamination
@@ -24,9 +24,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any letter go; a missing language is filled in."""
+    ensure_scratch(spark)
     parser = language.learn(docs.select("lang", "text"))
-    found = language.tagged(docs.drop("lang_pred", "score"), parser).filter(F.col("lang_pred") != language.UNKNOWN)
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    given = {name: f"_given_{name}" for name in ("lang_pred", "score") if name in docs.columns}
+    found = language.tagged(docs.withColumnsRenamed(given), parser).filter(F.col("lang_pred") != language.UNKNOWN)
+    found = found.withColumn("lang", F.coalesce("lang", "lang_pred")).drop("lang_pred", "score")
+    return found.withColumnsRenamed({hidden: name for name, hidden in given.items()}).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,6 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without an id come last and count as one where their texts are equal. Rows that share
     the smallest id stay, unless their texts are equal too.
     """
+    ensure_scratch(spark)
     own = F.xxhash64("text").bitwiseAND(2**62 - 1).bitwiseOR(2**62)
     rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), own))
     found = jaccard_components(rows.select(F.col("_id").alias("doc_id"), "text"))
@@ -47,6 +51,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain too much of the benchmark go."""
+    ensure_scratch(spark)
     texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
     found = contamination(texts, read_table(spark, sf_dir, "benchmark")).filter("contaminated")
     gone = snapshot(found.select(F.col("doc_id").alias("_text")).distinct(), scratch_path(spark, "contaminated"))
@@ -55,6 +60,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the texts; all documents stay."""
+    ensure_scratch(spark)
     found = secret_spans(docs).filter("size(spans) > 0").select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
     found = snapshot(found.dropDuplicates(["_blob"]), scratch_path(spark, "spans"))
     rows = docs.join(found, F.sha2("text", 256) == F.col("_blob"), "left")

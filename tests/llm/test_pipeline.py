@@ -4,10 +4,11 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from tests.llm import test_decontaminate, test_jaccard_join, test_secrets
-from tests.llm.fixtures import SMALL, empty, table
+from tests.llm.fixtures import SMALL, empty, table, with_clashes
 from tidemark.llm import catalog
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -74,6 +75,16 @@ def test_null_and_repeated_ids(spark, corpus):
     assert sorted((str(r.doc_id), r.text) for r in docs.collect()) == [("3", copy), ("None", "another text here")]
 
 
+def test_columns_with_clashing_names_pass_through(spark, corpus):
+    docs = with_clashes(table(spark, ["one two three four five six seven", "token=abcdefgh and more", None])).withColumn("lang_pred", F.lit("given"))
+    for name, stage in pipeline.STAGES[:-1]:
+        columns = docs.dtypes
+        docs = stage(spark, docs, corpus[0])
+        assert docs.dtypes == columns, name
+    rows = docs.collect()
+    assert len(rows) == 2 and {(r.score, r.lang_pred, r.name) for r in rows} == {("score", "given", "name")}
+
+
 def test_no_documents(spark, corpus):
     docs = empty(spark)
     for _, stage in pipeline.STAGES:
