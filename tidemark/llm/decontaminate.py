@@ -112,7 +112,6 @@ def _with_anchor(windows: DataFrame, docs: DataFrame, widths: list[int]) -> Data
     distinct = windows.groupBy("words").agg(*[F.first(c).alias(c) for c in ("k", "width", "shingles")])
     single = distinct.select("words", F.posexplode("shingles").alias("shift", "shingle"))
     own = single.groupBy("shingle").agg(F.count("*").alias("own"))
-    own = snapshot(own, scratch_path(docs.sparkSession, "shingles"))
     counted = own.join(_shingle_counts(docs, widths, bloom.build(own, "shingle")), "shingle", "left")
     rarity = F.struct(F.coalesce("times", F.lit(0)).alias("times"), "own", "shingle", "shift")
     best = single.join(counted, "shingle").groupBy("words").agg(F.min(rarity).alias("best"))
@@ -208,7 +207,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
         .select("key_a", "key_b", "words", "start", (F.col("start") + F.col("k")).alias("stop"))
         .distinct()
     )
-    occurs = snapshot(occurs, f"{folder}/occurs")
     spans = occurs.groupBy("key_a", "key_b").agg(
         _covered(F.sort_array(F.collect_set(F.struct("start", "stop")))).alias("n_hit")
     )
@@ -219,9 +217,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
         .groupBy("key_a", "key_b")
         .agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     )
-    hits = snapshot(spans.join(listed, ["key_a", "key_b"], "left"), f"{folder}/hits")
+    hits = spans.join(listed, ["key_a", "key_b"], "left").withColumn("_hash", F.xxhash64("key_a", "key_b"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return scanned.select("doc_id", "key_a", "key_b", "n_words").join(hits, ["key_a", "key_b"], "left").select(
+    # A further join column has both sides shuffled, so that a text of very many rows can be split.
+    rows = scanned.select("doc_id", "key_a", "key_b", "n_words").withColumn("_hash", F.xxhash64("key_a", "key_b"))
+    return rows.join(hits, ["key_a", "key_b", "_hash"], "left").select(
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
