@@ -34,6 +34,7 @@ from tidemark.llm.words import (
     blocks,
     find_words,
     mix,
+    small_batches,
     window_hashes,
     windows_inside,
     word_hashes,
@@ -188,7 +189,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
     """
     spark = docs.sparkSession
     folder = scratch_path(spark, "decontaminate")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     windows = snapshot(benchmark_windows(items, window), f"{folder}/windows")
     widths = sorted(r.width for r in windows.select("width").distinct().collect())

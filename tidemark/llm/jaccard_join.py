@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bloom
 from tidemark.llm.components import connected_components
-from tidemark.llm.words import blocks, mix, shingle_sets
+from tidemark.llm.words import blocks, mix, shingle_sets, small_batches
 from tidemark.sources.cache import kept as kept_in_memory
 from tidemark.sources.files import scratch_path, snapshot
 
@@ -318,7 +318,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     links but is never a component_id, unless all ids of its component are null. An empty table
     gives no rows.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bound, folder = _Bound(percent), scratch_path(docs.sparkSession, "jaccard")
     stats = snapshot(shingle_stats(docs, size), f"{folder}/stats")
     classes = stats.filter("n_shingles > 0").groupBy("n_shingles", "sig_a", "sig_b").agg(F.min("doc_id").alias("rep"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.words import LOWER, Block, blocks
+from tidemark.llm.words import LOWER, Block, blocks, small_batches
 
 #: Bytes of text that a language's automaton is built from.
 SAMPLE_BYTES = 24_000
@@ -200,7 +200,7 @@ def tagged(docs: DataFrame, parser: Parser) -> DataFrame:
                     [*batch.schema.names, "lang_pred", "score"],
                 )
 
-    docs = docs.drop("lang_pred", "score").withColumn("text", F.col("text").cast("string"))
+    docs = small_batches(docs).drop("lang_pred", "score").withColumn("text", F.col("text").cast("string"))
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return docs.mapInArrow(rows, schema)
 

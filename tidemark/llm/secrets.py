@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.words import small_batches
 from tidemark.sources.files import scratch_path
 
 
@@ -114,7 +115,7 @@ def update(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) ->
     Texts are fetched by one row for each unseen blob, so those of seen blobs and further copies are
     never scanned.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     paths = docs.select("doc_id", _blob(F.col("text")).alias("blob"))
     wanted = F.array(*[F.lit(r.name) for r in rules])
     missing = (

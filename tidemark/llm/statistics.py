@@ -19,6 +19,7 @@ from tidemark.llm.words import (
     blocks,
     find_words,
     mix,
+    small_batches,
     window_hashes,
     windows_inside,
     word_hashes,
@@ -149,7 +150,7 @@ def row_features(
                     ["doc_id", *columns],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         rows, ", ".join(["doc_id long", *(f"{name} {kind}" for name, kind in columns.items())])
     )
 

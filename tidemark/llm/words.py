@@ -12,16 +12,29 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: Rows are worked on in blocks of about this many bytes; one longer row is a block of its own.
 #: A block's arrays of numbers take some hundred times as much.
 BLOCK_BYTES = 1 << 18
 
+#: Texts reach Python in batches of at most about this many bytes, or of one row.
+BATCH_BYTES = 4 << 20
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """The same rows, in a session whose batches for Python have at most `BATCH_BYTES`.
+
+    A batch is held by the executor and by its Python worker at once, so this bounds what long texts take.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return docs
+
+
 def byte_class(pattern_bytes: bytes, inverted: bool = False) -> np.ndarray:
     """Table of 256 booleans: which bytes belong to words."""
     table = np.zeros(256, bool)
