@@ -53,7 +53,9 @@ def test_empty_and_null(spark):
 
 def test_frequent_words(spark):
     docs = table(spark, ["b a b", "B! c-a", None, "é"])
-    assert bpe.frequent_words(docs, 3) == [b"b", b"a", b"c"]
+    assert bpe.frequent_words(docs, 4) == [b"a", b"b", b"c", "é".encode()]
+    assert bpe.frequent_words(docs, 3) == [b"a", b"b"]
+    assert bpe.frequent_words(docs, 0) == bpe.frequent_words(empty(spark), 9) == []
 
 
 @pytest.mark.parametrize("count", [0, 1, 2, 3000])

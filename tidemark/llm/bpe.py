@@ -17,19 +17,20 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import lexicon as lex
-from tidemark.llm.words import NOT_SPACE, Words, blocks, byte_class, find_words, word_hashes
+from tidemark.llm.words import NOT_SPACE, Words, blocks, byte_class, find_words, small_batches, word_hashes
+from tidemark.sources.cache import kept
 
 #: Most words that are compiled; it bounds the transducer, not what can be encoded.
 LEXICON_WORDS = 60_000
 #: Pieces that are merged side by side, and the longest that are.
 MERGED_ROWS, MERGED_LENGTH = 4096, 64
 #: Larger blocks have fewer distinct words for their size.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 _LETTERS = byte_class(bytes([*range(97, 123), *range(0x80, 0x100)]))
 _END = "</w>"
@@ -93,8 +94,17 @@ class Vocabulary:
         return [self.ids[p] for p in parts]
 
 
+def _steps(times: Column) -> Column:
+    """Counts in steps of an eighth of a doubling: a few hundred values at any size."""
+    return F.floor(F.log2(times.cast("double")) * 8).cast("int")
+
+
 def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS) -> list[bytes]:
-    """The most frequent runs of letters of all texts in lower case, ties by the word."""
+    """The most frequent runs of letters of all texts in lower case, sorted; `most` at the most.
+
+    A histogram of the counts gives the least count that is frequent, so that tasks send no words but
+    those. Words of the step that would pass `most` are left out together.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,8 +121,14 @@ def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS) -> list[bytes]:
                 yield from table.to_batches()
 
     counted = docs.select("text").mapInArrow(count, "word binary, times long").groupBy("word")
-    top = counted.agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "word").limit(most)
-    return [bytes(row.word) for row in top.collect()]
+    counted = counted.agg(F.sum("times").alias("times")).withColumn("step", _steps(F.col("times")))
+    with kept(counted):
+        sizes = {row.step: row["count"] for row in counted.groupBy("step").count().collect()}
+        total, least = 0, max(sizes, default=0) + 1
+        while least - 1 >= 0 and total + sizes.get(least - 1, 0) <= most:
+            least -= 1
+            total += sizes.get(least, 0)
+        return sorted(bytes(row.word) for row in counted.filter(F.col("step") >= least).select("word").collect())
 
 
 def compile_words(words: Sequence[bytes], vocabulary: Vocabulary) -> lex.Lexicon:
@@ -295,7 +311,7 @@ def encode(docs: DataFrame, vocabulary_file: str, lexicon_words: int = LEXICON_W
     Null and blank texts have no ids. Special strings of the file become their ids; no others are
     added. Repeated rows each get their result; an empty table gives none.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     tables, source = _tables(docs, vocabulary_file, lexicon_words)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

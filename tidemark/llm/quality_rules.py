@@ -31,7 +31,7 @@ def matrix(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, list[str]]:
 def fit_rules(statistics: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> Trees:
     """Trees for label 1 from at most `most` labelled rows of a table with the COUNTS columns."""
     chosen = sample(labelled_ids(labels, "quality"), most)  # at most `most` rows of two numbers
-    rows = sample(statistics.join(F.broadcast(chosen), "doc_id"), most).toArrow()
+    rows = statistics.join(F.broadcast(chosen), "doc_id").limit(most).toArrow().sort_by("doc_id")
     features, names = matrix(rows)
     monotone = {names.index(name): sign for name, sign in MONOTONE.items()}
     return fit_trees(features, rows.column("label").to_numpy().astype(float), monotone)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.boosting import Trees, fit_trees
 from tidemark.llm.learning import SAMPLE_ROWS, labelled_ids, sample
 from tidemark.llm.statistics import running
-from tidemark.llm.words import LOWER, NOT_SPACE, Block, Words, blocks, byte_class, find_words, word_hashes
+from tidemark.llm.words import LOWER, NOT_SPACE, Block, Words, blocks, byte_class, find_words, small_batches, word_hashes
 from tidemark.sources.cache import kept
 
 # Common English insults, and words that address the reader in four languages.
@@ -233,7 +233,7 @@ def toxicity_scores(docs: DataFrame, training: DataFrame, most: int = SAMPLE_ROW
     `training` has doc_id and toxic (0 or 1); at most `most` of its rows are fitted on. Null and blank texts are scored by their features, which are 0. Repeated
     rows each get their score. Without both labels the score is 0.5.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     chosen = sample(labelled_ids(training, "toxic"), most)  # at most `most` rows of two numbers
     rows = docs.join(F.broadcast(chosen), "doc_id")
 
@@ -247,7 +247,8 @@ def toxicity_scores(docs: DataFrame, training: DataFrame, most: int = SAMPLE_ROW
     with kept(rows):
         features = Features(*learn_words(rows))
         found = rows.mapInArrow(measure, "doc_id long, label int, values array<double>")
-        found = sample(found.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))), most).toArrow()
+        found = found.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))).limit(most).toArrow()
+    found = found.sort_by("doc_id")
     labels = found.column("label").to_numpy().astype(float)
     values = np.array(found.column("values").to_pylist(), float).reshape(len(labels), len(FEATURES))
     both = 0 < labels.sum() < len(labels)
