@@ -149,6 +149,35 @@ def test_learned_words_explain_toxic_texts(spark):
     assert none == ([], toxicity.INSULTS)
 
 
+def test_copies_do_not_crowd_out_learned_words(spark):
+    letters = "bcdfghjkmn"
+    rare = [f"q{letters[i // 100]}{letters[i // 10 % 10]}{letters[i % 10]}" for i in range(500)]
+    clean = [(f"the quiet {a}{b} words", 0) for a in letters for b in letters]
+    insulting = [(f"{a}{b} grumpf vile words", 1) for a in letters for b in letters[:2]]
+    frame = lambda rows: spark.createDataFrame(rows, "text string, label int")
+    # Exact copies: the rare words of one text, and one clean text that quotes an insult.
+    copied = [(" ".join(rare), 1)] * 40 + [("they said vile there", 0)] * 60
+    learned, insults = toxicity.learn_words(frame(clean + insulting + copied))
+    assert learned[0] in ("grumpf", "vile") and "grumpf" in learned and "vile" in insults and not set(rare) & set(learned)
+    # Near copies are texts of their own, with more candidates than any fixed number of places.
+    near = [(" ".join([*rare, "x" * i]), 1) for i in range(1, 26)]
+    assert "grumpf" in toxicity.learn_words(frame(clean * 5 + [(f"{t} too", y) for t, y in clean] + insulting + near))[0]
+
+
+def test_cover_equals_a_plain_loop():
+    rng = np.random.default_rng(3)
+    held = [np.unique(rng.integers(0, 30, rng.integers(0, 9))) for _ in range(60)]
+    taken, rows = [], [(set(h.tolist()), toxicity.EXPLAINED) for h in held]
+    while True:
+        times = np.bincount([i for h, _ in rows for i in h], minlength=30)
+        if times[best := int(times.argmax())] < 3:
+            break
+        taken.append(best)
+        rows = [(h - {best}, left - (best in h)) for h, left in rows if left > (best in h)]
+    assert toxicity.cover(held, 30, 3) == taken and len(taken) > 3
+    assert toxicity.cover([], 0, 3) == []
+
+
 def test_toxic_features():
     (block,) = blocks(pa.array(["You are an IDIOT!", "1d1ot b4d", "calm text", "", None, "an idiot " + "x " * 20 + "you"]))
     values = pd.DataFrame(toxicity.Features(["bad"])(block), columns=toxicity.FEATURES)

@@ -30,8 +30,6 @@ ADDRESS = "you your yours yourself youre u ur du dich dir dein deine tu te toi t
 
 #: Words on each side of an insult in which an addressing word counts as near.
 NEAR = 5
-#: Most words of the learned list, and most candidates for it.
-LEARNED_WORDS, CANDIDATES = 200, 400
 
 _LETTERS = byte_class(bytes([*range(97, 123), *range(0x80, 0x100)]))
 _UNDO = LOWER.copy()
@@ -133,12 +131,19 @@ EXPLAINED = 3
 def learn_words(rows: DataFrame, insults: Sequence[str] = INSULTS) -> tuple[list[str], list[str]]:
     """(words that mark label 1, those of `insults` that stay) from rows (text, label).
 
-    Candidates are words far more frequent, by texts, under label 1. Of them words are taken one by
-    one, each time the one found in most texts not yet explained, so that the other words of a copied
-    toxic text are not taken for insults. A given insult goes if the texts use it without being toxic,
-    as happens with words that mean something else in another language. Without both labels nothing is
-    learned and all insults stay.
+    Candidates are all words far more frequent, by distinct texts, under label 1. Of them words are taken
+    one by one, each time the one found in most texts not yet explained, until none is found in enough of
+    them, so that the other words of a copied toxic text are not taken for insults. A given insult goes if
+    the texts use it without being toxic, as happens with words that mean something else in another
+    language. Copies of a text count once for each of its labels. Without both labels nothing is learned
+    and all insults stay.
     """
+    with kept(rows.select("text", "label").distinct()) as texts:
+        return _learn_words(texts, insults)
+
+
+def _learn_words(rows: DataFrame, insults: Sequence[str]) -> tuple[list[str], list[str]]:
+    """`learn_words` from distinct rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,15 +166,19 @@ def learn_words(rows: DataFrame, insults: Sequence[str] = INSULTS) -> tuple[list
     counted = rows.mapInArrow(count, "word binary, yes long, no long").groupBy("word").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
     odds = (F.col("yes") + 0.5) / n.yes / ((F.col("no") + 0.5) / n.no)
     least = max(3, n.yes // 400)
-    given = counted.filter(F.col("word").isin([w.encode() for w in insults])).withColumn("odds", odds)
-    harmless = {bytes(r.word).decode() for r in given.filter("no > 0 and odds < 5").collect()}
+    marks = (F.col("yes") >= least) & (F.col("odds") >= 20)
+    found = counted.withColumn("odds", odds).filter(marks | F.col("word").isin([w.encode() for w in insults]))
+    # Words that meet `least`, of a bounded sample.
+    found = [(bytes(r.word).decode("utf-8", "replace"), r) for r in found.withColumn("marks", marks).collect()]
+    harmless = {w for w, r in found if r.no > 0 and r.odds < 5}
     insults = [w for w in insults if w not in harmless]
-    picked = counted.filter(F.col("yes") >= least).withColumn("odds", odds).filter("odds >= 20")
-    candidates = [bytes(r.word).decode("utf-8", "replace") for r in picked.orderBy(F.desc("yes"), "word").limit(CANDIDATES).collect()]
+    candidates = [w for w, r in sorted(found, key=lambda x: (-x[1].yes, x[1].word)) if r.marks]
     if not candidates:
         return [], insults
-    by_hash = {int(hashes_of([w])[0]): i for i, w in enumerate(candidates)}
-    known = np.array(sorted(by_hash), np.uint64)
+    (block,) = blocks(pa.array([" ".join(candidates)]))
+    unsorted = word_hashes(block, find_words(block, NOT_SPACE))
+    order = np.argsort(unsorted)
+    known = unsorted[order]
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,22 +186,36 @@ def learn_words(rows: DataFrame, insults: Sequence[str] = INSULTS) -> tuple[list
                 small, words, first, row = _distinct_words(block)
                 hashes = word_hashes(small, words)[first]
                 hit = _among(hashes, known)
-                lists: list[list[int]] = [[] for _ in range(block.rows)]
-                for r, h in zip(row[hit].tolist(), hashes[hit].tolist(), strict=True):
-                    lists[r].append(by_hash[h])
-                yield pa.RecordBatch.from_arrays([pa.array(map(sorted, lists), pa.list_(pa.int32()))], ["held"])
+                held = order[np.searchsorted(known, hashes[hit])].astype(np.int32)
+                bounds = np.searchsorted(row[hit], np.arange(block.rows + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(bounds, held)], ["held"])
 
     # One row per sampled text at most: the sample is bounded.
-    held = [(set(r.held), EXPLAINED) for r in rows.filter("label = 1").select("text").distinct().mapInArrow(hold, "held array<int>").collect()]
-    taken: list[str] = []
-    while held and len(taken) < LEARNED_WORDS:
-        times = np.bincount([i for h, _ in held for i in h], minlength=len(candidates))
-        best = int(times.argmax())
-        if times[best] < least:
-            break
-        taken.append(candidates[best])
-        held = [(h - {best}, left - (best in h)) for h, left in held if left > (best in h)]
-    return taken, insults
+    held = rows.filter("label = 1").select("text").mapInArrow(hold, "held array<int>").toArrow().column("held").combine_chunks()
+    return [candidates[i] for i in cover([row.values.to_numpy() for row in held], len(candidates), least)], insults
+
+
+def cover(held: Sequence[np.ndarray], n: int, least: int) -> list[int]:
+    """Of the numbers below n those taken one by one, each time the one held by most rows left, the smallest of several.
+
+    A row goes when EXPLAINED of its numbers are taken. It ends when no number is held by `least` rows.
+    """
+    sizes = np.array([len(h) for h in held], np.int64)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    numbers = np.concatenate([np.zeros(0, np.int64), *held]).astype(np.int64)
+    by_number = np.argsort(numbers, kind="stable")
+    rows = np.repeat(np.arange(len(held)), sizes)[by_number]
+    at = np.searchsorted(numbers[by_number], np.arange(n + 1))
+    times, left = np.diff(at), np.full(len(held), EXPLAINED)
+    taken: list[int] = []
+    while n and times[best := int(times.argmax())] >= least:
+        taken.append(best)
+        own = rows[at[best] : at[best + 1]]
+        left[own] -= 1
+        for row in own[left[own] == 0].tolist():
+            times[numbers[bounds[row] : bounds[row + 1]]] -= 1
+        times[best] = -len(held) - 1
+    return taken
 
 
 def isotonic(scores: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
