@@ -23,12 +23,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any letter go; a missing language is filled in."""
+    """Documents without any letter go; a missing language is filled in, if any was learned."""
     ensure_scratch(spark)
     parser = language.learn(docs.select("lang", "text"))
-    given = {name: f"_given_{name}" for name in ("lang_pred", "score") if name in docs.columns}
-    found = language.tagged(docs.withColumnsRenamed(given), parser).filter(F.col("lang_pred") != language.UNKNOWN)
-    found = found.withColumn("lang", F.coalesce("lang", "lang_pred")).drop("lang_pred", "score")
+    given = {name: f"_given_{name}" for name in language.FOUND if name in docs.columns}
+    found = language.tagged(docs.withColumnsRenamed(given), parser).filter("lettered")
+    if parser.languages:
+        found = found.withColumn("lang", F.coalesce("lang", "lang_pred"))
+    found = found.drop(*language.FOUND)
     return found.withColumnsRenamed({hidden: name for name, hidden in given.items()}).select(docs.columns)
 
 

@@ -85,6 +85,17 @@ def test_columns_with_clashing_names_pass_through(spark, corpus):
     assert len(rows) == 2 and {(r.score, r.lang_pred, r.name) for r in rows} == {("score", "given", "name")}
 
 
+def test_no_language_given(spark, corpus):
+    texts = ["one two three four five six seven", "123 !?", "的", None, "…"]
+    docs = table(spark, texts).withColumn("lang", F.lit(None).cast("string")).withColumn("lettered", F.lit("given"))
+    found = pipeline.language_id(spark, docs, corpus[0])
+    assert found.dtypes == docs.dtypes
+    assert sorted((r.text, r.lang, r.lettered) for r in found.collect()) == [(texts[0], None, "given"), ("的", None, "given")]
+    for _, stage in pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, corpus[0])
+    assert sorted(r.doc_id for r in docs.collect()) == [0, 2]
+
+
 def test_no_documents(spark, corpus):
     docs = empty(spark)
     for _, stage in pipeline.STAGES:

@@ -28,6 +28,8 @@ SAMPLE_ROWS = 40
 #: A text is cut into pieces of this many letters, which are parsed side by side.
 PIECE = 256
 UNKNOWN = "und"
+#: Columns that `tagged` adds.
+FOUND = ("lang_pred", "score", "lettered")
 
 _IS_LETTER = np.zeros(256, bool)
 _IS_LETTER[97:123] = True
@@ -133,8 +135,8 @@ class Parser:
             at[:, :n] = cell ^ sign
         return np.array([np.bincount(row, weights=c, minlength=len(sizes)) for c in count])
 
-    def decide(self, block: Block) -> tuple[list[str], np.ndarray]:
-        """(language, score) of each row of a block."""
+    def decide(self, block: Block) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(language, score, has a letter) of each row of a block."""
         symbols, bounds = letters_of(block)
         languages, scores = [UNKNOWN] * block.rows, np.zeros(block.rows)
         ascii_letters = np.concatenate([[0], np.cumsum((symbols > 0) & (symbols < 0x80))])[bounds]
@@ -143,11 +145,11 @@ class Parser:
             text = block.data[block.bounds[row] : block.bounds[row + 1]].tobytes().decode("utf-8", "replace")
             known[row] = any(map(str.isalpha, text))
         if not self.languages or not known.any():
-            return languages, scores
+            return languages, scores, known
         bits = self.phrases(symbols, bounds) * self.bits[:, None] / np.maximum(np.diff(bounds), 1)
         best = bits.argmin(0)
         scores = np.where(known, 1 / np.exp(-4 * (bits - bits.min(0))).sum(0), 0.0)
-        return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], scores
+        return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], scores, known
 
 
 def learn(labelled: DataFrame) -> Parser:
@@ -187,22 +189,22 @@ def learn(labelled: DataFrame) -> Parser:
 
 
 def tagged(docs: DataFrame, parser: Parser) -> DataFrame:
-    """docs with columns lang_pred and score, which replace columns of these names; see `identify`."""
+    """docs with columns lang_pred, score and lettered, which replace columns of these names; see `identify`.
+
+    `lettered` tells whether the text has a letter, whatever was learned.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(parser).values()))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser(*shared.value)
         for batch in batches:
             for block in blocks(batch.column("text")):
-                languages, scores = parser.decide(block)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(block.first, block.rows).columns, pa.array(languages, pa.string()), pa.array(scores)],
-                    [*batch.schema.names, "lang_pred", "score"],
-                )
+                found = [pa.array(x, kind) for x, kind in zip(parser.decide(block), (pa.string(), pa.float64(), pa.bool_()), strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.slice(block.first, block.rows).columns, *found], [*batch.schema.names, *FOUND])
 
-    docs = small_batches(docs).drop("lang_pred", "score").withColumn("text", F.col("text").cast("string"))
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.mapInArrow(rows, schema)
+    docs = small_batches(docs).drop(*FOUND).withColumn("text", F.col("text").cast("string"))
+    added = [T.StructField(name, kind) for name, kind in zip(FOUND, (T.StringType(), T.DoubleType(), T.BooleanType()), strict=True)]
+    return docs.mapInArrow(rows, T.StructType([*docs.schema.fields, *added]))
 
 
 def identify(docs: DataFrame, parser: Parser) -> DataFrame:
@@ -213,4 +215,4 @@ def identify(docs: DataFrame, parser: Parser) -> DataFrame:
     and 1, and higher the more bits per letter the other languages need. Whole texts are parsed;
     their pieces of `PIECE` letters each begin a phrase. Repeated rows each get their result.
     """
-    return tagged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), parser).drop("text")
+    return tagged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), parser).drop("text", "lettered")
