@@ -23,7 +23,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any letter go; a missing language is filled in, if any was learned."""
+    """Documents without any letter go; a missing language is filled in, if any was learned.
+
+    A given language stays, whatever the parser takes the text for.
+    """
     ensure_scratch(spark)
     parser = language.learn(docs.select("lang", "text"))
     given = {name: f"_given_{name}" for name in language.FOUND if name in docs.columns}

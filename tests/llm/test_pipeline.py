@@ -96,6 +96,14 @@ def test_no_language_given(spark, corpus):
     assert sorted(r.doc_id for r in docs.collect()) == [0, 2]
 
 
+def test_given_languages_stay_and_missing_ones_are_filled(spark, corpus):
+    texts = ["the cat sat on the mat", "der hund und die katze", "the mat the cat", "und die katze", "qqq", "12"]
+    langs = ["en", "de", "de", None, "xx", "en"]
+    docs = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(zip(texts, langs, strict=True))], "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang for r in pipeline.language_id(spark, docs, corpus[0]).collect()}
+    assert found == {0: "en", 1: "de", 2: "de", 3: "de", 4: "xx"}
+
+
 def test_no_documents(spark, corpus):
     docs = empty(spark)
     for _, stage in pipeline.STAGES:
