@@ -40,18 +40,33 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies stays: the one with the smallest id.
 
-    Documents without an id come last and count as one where their texts are equal. Rows that share
-    the smallest id stay, unless their texts are equal too.
+    Documents without an id come last and count as one where their texts are equal. Of rows that share
+    the smallest id the one with the smallest hash of its text stays.
     """
     ensure_scratch(spark)
+    if not docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return _near_duplicates_of_repeated_ids(spark, docs)
     own = F.xxhash64("text").bitwiseAND(2**62 - 1).bitwiseOR(2**62)
     rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), own))
     found = jaccard_components(rows.select(F.col("_id").alias("doc_id"), "text"))
     found = snapshot(found, scratch_path(spark, "near-duplicates"))
     kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    repeated = not found.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    rows = rows.join(kept, "_id", "left_semi")
-    return (rows.dropDuplicates(["_id", "text"]) if repeated else rows).drop("_id").select(docs.columns)
+    return rows.join(kept, "_id", "left_semi").select(docs.columns)
+
+
+def _near_duplicates_of_repeated_ids(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """`near_duplicates` where an id may hold several texts: texts are compared by their hash, and the
+    row that stays is named by id and hash. Texts without words are components of their own, by id."""
+    key = F.xxhash64("text")
+    own = key.bitwiseAND(2**62 - 1).bitwiseOR(2**62)
+    rows = docs.withColumn("_text", key).withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), own))
+    found = jaccard_components(rows.select(F.col("_text").alias("doc_id"), "text")).distinct()
+    found = snapshot(found, scratch_path(spark, "near-duplicates")).withColumnRenamed("doc_id", "_text")
+    pairs = rows.select("_id", "_text").distinct().join(found, "_text")
+    alone = F.when(F.col("n_shingles") == 0, F.col("_id"))
+    kept = pairs.groupBy("component_id", alone.alias("alone")).agg(F.min(F.struct("_id", "_text")).alias("first"))
+    rows = rows.join(snapshot(kept.select("first.*"), scratch_path(spark, "representatives")), ["_id", "_text"], "left_semi")
+    return rows.dropDuplicates(["_id", "_text"]).select(docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

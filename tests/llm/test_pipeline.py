@@ -75,6 +75,17 @@ def test_null_and_repeated_ids(spark, corpus):
     assert sorted((str(r.doc_id), r.text) for r in docs.collect()) == [("3", copy), ("None", "another text here")]
 
 
+def test_one_row_of_each_component_where_ids_repeat(spark, corpus):
+    near = " ".join(f"w{i}" for i in range(60))
+    other, apart = " ".join(f"v{i}" for i in range(60)), "one two three four five six seven"
+    texts = [near, other, near + " x", apart, other + " x", other + " y", " ", " ", apart + " eight nine ten eleven"]
+    docs = table(spark, texts, [3, 5, 5, 3, 7, 7, 8, 9, None])
+    found = sorted((str(r.doc_id), r.text) for r in pipeline.near_duplicates(spark, docs, corpus[0]).collect())
+    assert found == sorted([("3", near), ("5", other), ("3", apart), ("8", " "), ("9", " "), ("None", texts[-1])])
+    alike = table(spark, [other, other + " x", other + " y"], [7, 7, 7])
+    assert pipeline.near_duplicates(spark, alike, corpus[0]).count() == 1
+
+
 def test_columns_with_clashing_names_pass_through(spark, corpus):
     docs = with_clashes(table(spark, ["one two three four five six seven", "token=abcdefgh and more", None])).withColumn("lang_pred", F.lit("given"))
     for name, stage in pipeline.STAGES[:-1]:
