@@ -62,6 +62,19 @@ def test_added_rules(spark):
     assert {"private_key", "in_url", "prefixed"} <= kinds
 
 
+def test_encrypted_keys_and_long_passwords_are_found_whole(spark):
+    head = "-----BEGIN RSA PRIVATE KEY-----"
+    key = f"{head}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB--C\n\nabc/+=\n-----END RSA PRIVATE KEY-----"
+    url = f"https://{'u' * 90}:{'p-' * 200}@host"
+    texts = [f"{key} then {key}", f"a {url} b", f"{head} without end {key}", f"{head}\n{'-' * 4}\n{head}", head * 3000 + "x-" * 50000]
+    spans = {r.doc_id: [(s.kind, s.start, s.stop) for s in r.spans] for r in secret_spans(table(spark, texts)).collect()}
+    size = len(key)
+    assert spans[0] == [("private_key", 0, size), ("private_key", size + 6, 2 * size + 6)]
+    assert spans[1] == [("in_url", 2, 1 + len(url) - 3)]
+    assert [x[1:] for x in spans[2]] == [(0, 31), (len(head) + 13, len(texts[2]))]
+    assert len(spans[3]) == 2 and len(spans[4]) == 3000
+
+
 def test_repeated_rows_null_ids_and_no_rows(spark):
     texts = ["token=abcdefgh"] * 3 + ["x"] + ["token=abcdefgh", "y"]
     found = secret_spans(table(spark, texts, [1, 1, None, None, 2, 2]))

@@ -49,10 +49,10 @@ RULES = (
     ),
     Rule("access", 1, r"AKIA[A-Z0-9]+", least=16),
     Rule("hex", 1, r"[0-9a-f]{32,}", least=32),
-    Rule("private_key", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]+-----END [A-Z ]*PRIVATE KEY-----)?"),
+    Rule("private_key", 2, r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[^-]|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----)?"),
     Rule("web_token", 1, r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("prefixed", 1, r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})"),
-    Rule("in_url", 1, r"\b[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,80}:[^\s:/@]{3,80}@"),
+    Rule("in_url", 2, r"\b[a-z][a-z0-9+.-]{1,20}://[^\s:/@]++:[^\s:/@]{3,}+@"),
 )
 SPANS = "array<struct<kind: string, start: int, stop: int>>"
 
