@@ -80,6 +80,22 @@ def test_sample_is_bounded(spark):
     assert len(parser.table) < 2 * language.SAMPLE_BYTES * len(parser.symbol)
 
 
+def test_copies_and_long_texts_leave_room_for_others(spark):
+    words = [f"{a}{b}{c}" * 4 for a in "bcdf" for b in "aeio" for c in "lmnr"][: language.SAMPLE_ROWS - 2]
+    rows = [("en", w) for w in words] + [("en", "xy " * 20_000), ("en", "yx " * 20_000)] + [("en", "copied " * 200)] * 500
+    parser = learn(sample(spark, rows[:-500]))
+    (block,) = blocks(pa.array(words))
+    assert (parser.phrases(*letters_of(block))[0] == 1).all()
+    parser = learn(sample(spark, rows[2:]))
+    (block,) = blocks(pa.array(words[2:]))
+    assert (parser.phrases(*letters_of(block))[0] == 1).sum() >= len(words) - 3
+
+
+def test_shares():
+    assert language.shares(np.array([100, 5, 50]), 60).tolist() == [28, 5, 27]
+    assert language.shares(np.array([3, 4]), 60).tolist() == [3, 4]
+
+
 @pytest.mark.parametrize("text", ["É", "ÀÉÎ", "straße"])
 def test_capitals_of_accented_letters(text):
     (block,) = blocks(pa.array([text]))

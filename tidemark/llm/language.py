@@ -85,18 +85,20 @@ def _automaton(text: np.ndarray) -> list[dict[int, int]]:
     return to
 
 
+def shares(sizes: np.ndarray, total: int) -> np.ndarray:
+    """What each of `sizes` gets of `total`: an equal share, and of what smaller ones leave again an equal share."""
+    given = np.zeros(len(sizes), np.int64)
+    for done, place in enumerate(np.argsort(sizes, kind="stable").tolist()):
+        given[place] = min(sizes[place], (total - given.sum()) // (len(sizes) - done))
+    return given
+
+
 def _arcs(group: pa.Table) -> pa.Table:
     """From one language's sample rows: its arcs (state, symbol, next) as packed numbers."""
     rows = sorted(zip(group.column("place").to_pylist(), group.column("text").to_pylist(), strict=True))
-    pieces, size = [], 0
-    for _, text in rows:
-        for block in blocks(pa.array([text])):
-            symbols, _ = letters_of(block)
-            pieces.append(np.append(symbols[: SAMPLE_BYTES - size], 0).astype(np.uint8))
-            size += len(pieces[-1])
-        if size >= SAMPLE_BYTES:
-            break
-    sample = np.concatenate(pieces)
+    pieces = [np.append(letters_of(block)[0], 0).astype(np.uint8) for _, text in rows for block in blocks(pa.array([text]))]
+    sizes = np.array([len(p) for p in pieces])
+    sample = np.concatenate([np.append(p[: n - 1], 0).astype(np.uint8) for p, n in zip(pieces, shares(sizes, SAMPLE_BYTES), strict=True)])
     arcs = [(s, c, t) for s, out in enumerate(_automaton(sample)) for c, t in out.items()]
     packed = np.array(arcs, np.int32).tobytes()
     return pa.table({"lang": group.column("lang")[:1], "size": [len(sample)], "arcs": pa.array([packed], pa.binary())})
@@ -155,12 +157,13 @@ class Parser:
 def learn(labelled: DataFrame) -> Parser:
     """Parser of the languages in column lang of labelled (lang, text); null languages are not used.
 
-    The sample are `SAMPLE_ROWS` texts per language, those with the smallest hash, up to
-    `SAMPLE_BYTES` letters. It is cut per task before it is shuffled.
+    The sample are `SAMPLE_ROWS` distinct texts per language, those with the smallest hash, with equal
+    shares of `SAMPLE_BYTES` letters. Hashes are chosen first, so only the sample's texts are shuffled.
     """
-    rows = labelled.filter("lang is not null and text rlike '\\\\p{L}'").select("lang", "text")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), F.substring("text", 1, 64))
-    rows = rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= SAMPLE_ROWS)
+    rows = labelled.filter("lang is not null and text rlike '\\\\p{L}'").select("lang", "text", F.xxhash64("text").alias("place"))
+    order = Window.partitionBy("lang").orderBy("place")
+    chosen = rows.select("lang", "place").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE_ROWS)
+    rows = rows.join(F.broadcast(chosen.drop("n")), ["lang", "place"]).distinct()  # SAMPLE_ROWS small rows per language
     built = rows.groupBy("lang").applyInArrow(_arcs, "lang string, size long, arcs binary").orderBy("lang").collect()
     arcs = [np.frombuffer(row.arcs, np.int32).reshape(-1, 3) for row in built]
     symbol = np.zeros(256, np.int32)
