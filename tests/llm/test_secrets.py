@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from tests.llm.fixtures import LARGER, empty, table, with_clashes
+from tidemark.llm import catalog
 from tidemark.llm.secrets import RULES, Ledger, Rule, masked, secret_spans, update, written
 
 TEXTS = [
@@ -104,6 +105,16 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
     assert sorted(names for _, names in scans())[-2:] == [("two@2",)] * 2
 
 
+def test_query_scans_in_rounds_what_its_ledger_lacks(spark, tmp_path):
+    docs = table(spark, [f"{t} {i % 40}" for i in range(10) for t in TEXTS[:9]])
+    found, once = catalog.scanned_in_rounds(docs, str(tmp_path / "rounds")), secret_spans(docs)
+    assert sorted(map(str, found.collect())) == sorted(map(str, once.collect()))
+    scans = [(r.blob, tuple(r.rules)) for r in Ledger(spark, str(tmp_path / "rounds")).read().collect()]
+    pairs = [(blob, rule) for blob, rules in scans for rule in rules]
+    assert len(pairs) == len(set(pairs)) == len(RULES) * once.select("blob").distinct().count()
+    assert {len(rules) for _, rules in scans} == {3, len(RULES) - 3, len(RULES)}
+
+
 def test_update_returns_every_path(spark, tmp_path):
     docs = table(spark, ["a", "a", None])
     paths = update(docs, Ledger(spark, str(tmp_path / "paths")))

@@ -12,7 +12,7 @@ from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.language import identify, learn
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.quality_rules import quality_rules
-from tidemark.llm.secrets import RULES, secret_spans, written
+from tidemark.llm.secrets import RULES, Ledger, secret_spans, update, written
 from tidemark.llm.token_counts import TOKENIZERS, Rollup, changes, counted
 from tidemark.llm.toxicity import toxicity_scores
 from tidemark.sources.files import read_table, scratch_path, snapshot
@@ -43,7 +43,18 @@ def op2_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op3_secrets(spark: SparkSession, directory: str) -> DataFrame:
-    return secret_digests(secret_spans(read_table(spark, directory, "documents")))
+    return secret_digests(scanned_in_rounds(read_table(spark, directory, "documents"), scratch_path(spark, "ledger")))
+
+
+def scanned_in_rounds(docs: DataFrame, folder: str) -> DataFrame:
+    """`secret_spans` by a ledger with a past: a sixteenth was scanned by all rules and one by the base rules.
+
+    The last round takes all documents and scans the pairs of blob and rule version that the ledger lacks.
+    """
+    ledger = Ledger(docs.sparkSession, folder)
+    for number, rules in enumerate((RULES, RULES[:3])):
+        update(docs.filter(fold(16) == number), ledger, rules)
+    return secret_spans(docs, folder)
 
 
 def secret_digests(found: DataFrame) -> DataFrame:
