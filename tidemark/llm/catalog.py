@@ -13,6 +13,7 @@ from tidemark.llm.language import identify, learn
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.secrets import RULES, Ledger, secret_spans, update, written
+from tidemark.llm.spelling import spelling_variants, word_counts
 from tidemark.llm.token_counts import TOKENIZERS, Rollup, changes, counted
 from tidemark.llm.toxicity import toxicity_scores
 from tidemark.sources.files import read_table, scratch_path, snapshot
@@ -190,6 +191,52 @@ def op8_jaccard_join(spark: SparkSession, directory: str) -> DataFrame:
     return jaccard_components(read_table(spark, directory, "documents"))
 
 
+def _crc32_sql(text: str) -> str:
+    """DuckDB expression for the unsigned crc32 of a string expression, bit by bit."""
+    octets = f"[cast('0x' || substr(hex(encode({text})), 2 * i - 1, 2) as bigint) for i in range(1, strlen({text}) + 1)]"
+    bits = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda s, z: xor(s // 2, 3988292384 * (s % 2)))"
+    return f"xor(4294967295, list_reduce(list_concat([4294967295], {octets}), lambda c, b: {bits}))"
+
+
+def op13_spelling_variants(spark: SparkSession, directory: str) -> DataFrame:
+    counts = word_counts(read_table(spark, directory, "documents"), least=7, drop_period=31)
+    return spelling_variants(counts.filter("n >= 2"), ratio=10)
+
+
+OP13_SQL = rf"""
+with recursive found_runs as (
+  select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) as run from documents),
+runs as (
+  select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as times
+  from found_runs where length(run) >= 7 group by all),
+hashed as (select *, {_crc32_sql("concat(doc_id, ':', run)")} as h from runs),
+words as (
+  select word, cast(sum(times) as bigint) as n from (
+    select case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word,
+           times from hashed)
+  where length(word) >= 7 group by word having sum(times) >= 2),
+cut as (
+  select word, n, i, substr(word, 1, i) as a, substr(word, i + 2) as b
+  from (select *, unnest(range(length(word))) as i from words)),
+pairs as (
+  select x.word, y.word as other, y.n as other_n from cut x join cut y
+    on x.i = y.i and x.a = y.a and x.b = y.b and x.word <> y.word
+  union select x.word, y.word, y.n from cut x join words y on x.a || x.b = y.word
+  union select y.word, x.word, x.n from cut x join words y on x.a || x.b = y.word),
+near as (
+  select word, count(*) as n_near, max(other_n) as most, arg_min(other, row(-other_n, other)) as best from pairs group by word),
+found as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when most >= 10 * w.n then best end as form,
+         case when most >= 10 * w.n then most end as form_n
+  from words w left join near using (word)),
+chain as (
+  select word, word as root, form as further from found
+  union all select c.word, f.word, f.form from chain c join found f on f.word = c.further)
+select f.word, f.form, c.root, f.n, f.n_near, f.form_n
+from found f join chain c on c.word = f.word and c.further is null
+"""
+
+
 QUERIES = [
     Query("op1_quality_classifier", op1_quality_classifier),
     Query("op2_quality_rules", op2_quality_rules),
@@ -201,4 +248,5 @@ QUERIES = [
     Query("op8_jaccard_join", op8_jaccard_join),
     Query("op9_language_id", op9_language_id),
     Query("op10_toxicity", op10_toxicity),
+    Query("op13_spelling_variants", op13_spelling_variants, OP13_SQL),
 ]
