@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import Query
-from tidemark.llm import bpe, chat
+from tidemark.llm import bpe, chat, prefix_trie
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.language import identify, learn
@@ -198,6 +198,42 @@ def _crc32_sql(text: str) -> str:
     return f"xor(4294967295, list_reduce(list_concat([4294967295], {octets}), lambda c, b: {bits}))"
 
 
+def op12_prefix_trie(spark: SparkSession, directory: str) -> DataFrame:
+    turns = prefix_trie.numbered(read_table(spark, directory, "conversations"))
+    turns = snapshot(turns, scratch_path(spark, "numbered-turns"))
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(turns, period=20, heads=4))
+
+
+OP12_SQL = rf"""
+with placed as (
+  select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, role, text) as p, role, text
+  from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations)
+  where conv_id is not null),
+convs as (
+  select c, m, h, least(h, coalesce((select max(p) from placed x where x.c = y.c - y.c % 20), 0)) as taken
+  from (select c, count(*) as m, {_crc32_sql("cast(c as varchar)")} % 4 as h from placed group by c) y),
+turns as (
+  select convs.c, p, role, text from convs join placed x on x.c = convs.c - convs.c % 20 and p <= h
+  union all select convs.c, p - h + taken, role, text from convs join placed x on x.c = convs.c and p > h),
+paths as (
+  select c, coalesce(list(row(role, text) order by p) filter (p is not null), []) as path from convs left join turns using (c) group by c),
+members as (select c, path, unnest(range(len(path) + 1)) as depth from paths),
+nodes as (
+  select path[: depth] as node, depth, min(c) as conv_id, count(*) as n_convs,
+         coalesce(string_agg(cast(c as varchar), ',' order by c) filter (len(path) = depth), '') as ends
+  from members group by all),
+own as (
+  select n.*, p.conv_id as parent_conv_id, (select count(*) from nodes k where k.depth = n.depth + 1 and k.node[: n.depth] = n.node) as n_children,
+         (n_convs - 1) * case when n.depth = 0 then 0 else len(regexp_extract_all(node[n.depth][2], '[^\x20\x09-\x0D]+')) end as saved
+  from nodes n left join (select node as above, conv_id, depth from nodes) p on p.depth = n.depth - 1 and p.above = n.node[: n.depth - 1]),
+below as (
+  select up, sum(saved) as saved_tokens, count(*) filter (n_children = 0) as n_leaves
+  from (select saved, n_children, node[: d] as up from (select *, unnest(range(depth + 1)) as d from own)) group by up)
+select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, cast(saved_tokens as bigint) as saved_tokens, sha256(ends) as ends_sha256
+from own join below on up = node
+"""
+
+
 def op13_spelling_variants(spark: SparkSession, directory: str) -> DataFrame:
     counts = word_counts(read_table(spark, directory, "documents"), least=7, drop_period=31)
     return spelling_variants(counts.filter("n >= 2"), ratio=10)
@@ -248,5 +284,6 @@ QUERIES = [
     Query("op8_jaccard_join", op8_jaccard_join),
     Query("op9_language_id", op9_language_id),
     Query("op10_toxicity", op10_toxicity),
+    Query("op12_prefix_trie", op12_prefix_trie, OP12_SQL),
     Query("op13_spelling_variants", op13_spelling_variants, OP13_SQL),
 ]
