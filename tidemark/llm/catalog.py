@@ -10,6 +10,7 @@ from tidemark.llm import bpe, chat, prefix_trie
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.language import identify, learn
+from tidemark.llm.packing import pack
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.secrets import RULES, Ledger, secret_spans, update, written
@@ -198,6 +199,13 @@ def _crc32_sql(text: str) -> str:
     return f"xor(4294967295, list_reduce(list_concat([4294967295], {octets}), lambda c, b: {bits}))"
 
 
+def op11_best_fit_packing(spark: SparkSession, directory: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = pack(read_table(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
+    return pieces.drop("ids")
+
+
 def op12_prefix_trie(spark: SparkSession, directory: str) -> DataFrame:
     turns = prefix_trie.numbered(read_table(spark, directory, "conversations"))
     turns = snapshot(turns, scratch_path(spark, "numbered-turns"))
@@ -284,6 +292,7 @@ QUERIES = [
     Query("op8_jaccard_join", op8_jaccard_join),
     Query("op9_language_id", op9_language_id),
     Query("op10_toxicity", op10_toxicity),
+    Query("op11_best_fit_packing", op11_best_fit_packing),
     Query("op12_prefix_trie", op12_prefix_trie, OP12_SQL),
     Query("op13_spelling_variants", op13_spelling_variants, OP13_SQL),
 ]
