@@ -3,7 +3,9 @@
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.fixtures import SMALL, empty, near_copies, table, with_clashes
 from tidemark.llm import jaccard_join
@@ -76,6 +78,57 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     assert got(jaccard_components(table(spark, texts))) == expected(list(enumerate(texts)))
 
 
+def classes_of(docs, size=5):
+    stats = jaccard_join.shingle_stats(docs.select("doc_id", "text"), size).filter("n_shingles > 0")
+    classes = stats.groupBy("n_shingles", "sig_a").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    return classes.select(F.col("sig_a").alias("name"), F.col("n_shingles").alias("n"), "rep", "copies").cache()
+
+
+def segments(docs, bits=4, percent=80):
+    """(shingles that are shuffled, rows that the fragments' counts make)"""
+    docs = docs.select("doc_id", "text")
+    classes = classes_of(docs)
+    once = jaccard_join._Once(classes, docs.count())
+    cut = jaccard_join._segments(docs, 5, bits, percent, once).cache()
+    counts = cut.groupBy("fragment").applyInArrow(jaccard_join._count_shared, "name long, shared long")
+    return cut.agg(F.sum(F.octet_length("shingles") / 4)).first()[0], counts.count()
+
+
+def test_rows_do_not_grow_with_fragments_nor_shingles_with_copies(spark):
+    random.seed(11)
+    passage = [f"p{i}" for i in range(50)]
+    texts = [" ".join([*(f"w{i}x{j}" for j in range(150)), *passage, *(f"w{i}y{j}" for j in range(100))]) for i in range(300)]
+    docs = table(spark, texts).repartition(6)
+    assert segments(docs, bits=4) == segments(docs, bits=10)
+    one = " ".join(f"v{i}" for i in range(400))
+    single, copies = table(spark, [one]), table(spark, [one] * 20_000).repartition(8)
+    assert segments(copies)[0] == segments(single)[0] == jaccard_join.prefix_sizes(np.array([396]), 80)[0]
+    assert segments(docs.union(copies.withColumn("doc_id", F.col("doc_id") + 1000)))[1] == segments(docs)[1]
+
+
+def test_prefixes_of_linked_sets_have_enough_in_common():
+    """All sizes and all places of the common elements that are worst for the prefixes."""
+    for percent in (60, 80, 90, 100):
+        for n in range(1, 130):
+            for m in range(n, n * 100 // percent + 2):
+                least = -(-(n + m) * percent // (100 + percent))
+                if least > n:
+                    continue
+                first = [int(jaccard_join.prefix_sizes(np.array([x]), percent)[0]) - (x - least) for x in (n, m)]
+                assert min(first) >= max(int(jaccard_join.least_shared(np.array([x]), percent)[0]) for x in (n, m)), (percent, n, m)
+
+
+def test_passage_that_many_components_share(spark):
+    """A shingle of very many components that the bounds don't rule out: no pair is lost."""
+    random.seed(12)
+    passage = [f"p{i}" for i in range(20)]
+    texts = []
+    for i in range(60):
+        base = [*passage, *(f"w{i}x{j}" for j in range(70))]
+        texts += [" ".join(base), " ".join([*base, "tail"])]
+    assert got(jaccard_components(table(spark, texts))) == expected(list(enumerate(texts)))
+
+
 def test_repeated_rows_and_null_ids(spark):
     texts = ["a b c d e f g", "a b c d e f g", "a b c d e f g", "k", "k", None, "a b c d e f g", "o p q r s t", "k"]
     ids = [4, 4, None, None, None, 7, 2, None, None]

@@ -1,12 +1,18 @@
-"""Bloom filters of fixed largest size: the one thing of unbounded tables that is sent to all tasks."""
+"""Bloom filters of fixed largest size: the one thing of unbounded tables that is sent to all tasks.
+
+With 16 bits for a key a filter is full at `2**MAX_BITS_LOG2 / 16` keys, 4 million. Beyond that it lets more
+and more rows through to the exact join that follows; at some 50 million it lets through most of them, and
+plans shuffle those rows as a plain join would.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import mix
@@ -46,11 +52,11 @@ def build_ids(ids: DataFrame, column: str) -> Bloom:
     return build(ids.select(column).mapInArrow(mixed, "h long"), "h")
 
 
-def build(hashes: DataFrame, column: str) -> Bloom:
+def build(hashes: DataFrame, column: str, bits_per_key: int = 16) -> Bloom:
     """Filter of a column of hashes. Chunks of bits are filled in tasks; the driver joins them."""
     hashes = hashes.select(F.col(column).alias("h"))
     n = hashes.count()
-    log2 = min(MAX_BITS_LOG2, max(_CHUNK_LOG2, int(n * 16).bit_length()))
+    log2 = min(MAX_BITS_LOG2, max(_CHUNK_LOG2, int(n * bits_per_key).bit_length()))
     mask = np.uint64((1 << log2) - 1)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,3 +83,18 @@ def build(hashes: DataFrame, column: str) -> Bloom:
     for row in filled.collect():
         table[row.chunk * width : (row.chunk + 1) * width] = np.frombuffer(row.bits, np.uint8)
     return Bloom(table)
+
+
+def split(rows: DataFrame, key: Column, hashes: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """(without, maybe): rows whose hash `key` surely isn't in the table's column of hashes, and the rest.
+
+    Only the key goes to Python, and nothing is shuffled. A null key may be in the table.
+    """
+    known = rows.sparkSession.sparkContext.broadcast(build(hashes, column))
+
+    @F.pandas_udf("boolean")
+    def has(keys: pd.Series) -> pd.Series:
+        return pd.Series(known.value.has(keys.fillna(0).to_numpy().astype(np.int64).view(np.uint64)))
+
+    maybe = F.coalesce(has(F.coalesce(key, F.lit(0).cast("long"))) | key.isNull(), F.lit(True))
+    return rows.filter(~maybe), rows.filter(maybe)

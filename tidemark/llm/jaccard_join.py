@@ -5,10 +5,13 @@ overlap is counted in each fragment separately and the counts are summed per pai
 
 1. `shingle_stats` folds every text to its set's size and signature. Equal sets are one class, so
    exact copies cost one row each from here on.
-2. `shared_classes` cuts the shingles by ranges of their hash, counts in each fragment how many of
-   a class's shingles another class has too, and sums. A class with fewer than the threshold's
-   share of such shingles cannot link: most texts end here, and only 32 bits of each shingle are
-   shuffled for it (a clash of two can only keep a class too many).
+2. `shared_classes` looks at the prefix of each set in the order of the hashes, 30 % of it for a threshold
+   of 80 %: sets that link have a tenth of the smaller's shingles in common in their prefixes. It cuts the
+   prefixes by ranges of the hash and counts in each fragment which of a class's shingles another class
+   has too. Most texts end here, after one shuffle of their prefixes with 32 bits for a shingle and 96 for
+   a class and fragment (a clash of two can only keep a class too many). A class is cut from one row, and
+   shingles that several classes of a batch have are folded, so neither a large group of copies nor a
+   passage that very many texts share fills a fragment.
 3. `ordered_sets` makes the sets of the rest again, with whole 64-bit shingles, in the global order:
    the power of two below the number of classes that hold the shingle, then its hash.
 4. `_entries` are the prefixes: two sets that link share a shingle whose places in both leave
@@ -35,13 +38,17 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bloom
 from tidemark.llm.components import connected_components
-from tidemark.llm.words import blocks, mix, shingle_sets, small_batches
+from tidemark.llm.words import blocks, lean, mix, shingle_sets, small_batches
 from tidemark.sources.cache import kept as kept_in_memory
 from tidemark.sources.files import scratch_path, snapshot
 
 #: Shingles of a fragment when classes are counted; a task holds about six bytes of each.
 FRAGMENT_SHINGLES = 2_500_000
 SLICES_LOG2 = 3
+#: Classes with more than this part of all rows are cut from one row only; others may be cut from several.
+LARGE_CLASSES = 100_000
+#: The name under which a shingle goes on that several classes of a batch have.
+_MARK = np.iinfo(np.int64).min
 #: Equal steps of the hash at which each level of the global order is cut.
 STEPS = 2
 
@@ -65,6 +72,7 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Rec
 def shingle_stats(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, n_shingles, sig_a, sig_b of every row."""
 
+    @lean
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, (_, bounds, a, b) in _sets(batches, size):
             yield pa.RecordBatch.from_arrays(
@@ -75,32 +83,110 @@ def shingle_stats(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(stats, "doc_id long, n_shingles long, sig_a long, sig_b long")
 
 
-def _segments(docs: DataFrame, size: int, bits: int) -> DataFrame:
-    """fragment, and packed for a batch of rows: names, sizes of their segments, shingles."""
+class _Once:
+    """Which rows are further copies of classes that have many, by filters of bounded size.
 
+    Every representative passes: of each class that the filter of large classes lets through, rightly or
+    not, the representative is in the second filter. A further copy may pass, which changes no result.
+    """
+
+    def __init__(self, classes: DataFrame, rows: int) -> None:
+        many = max(2, math.ceil(rows / LARGE_CLASSES))
+        self.large = bloom.build(_mixed_names(classes.filter(F.col("copies") >= many)), "h", bits_per_key=512)
+        self.first = bloom.build(_mixed_names(classes, self.large), "h")
+
+    def further(self, names: np.ndarray, ids: pa.Array) -> np.ndarray:
+        names, ids = names.view(np.uint64), ids.fill_null(0).to_numpy().view(np.uint64)
+        return self.large.has(mix(names)) & ~self.first.has(mix(names ^ mix(ids)))
+
+
+def _mixed_names(classes: DataFrame, within: bloom.Bloom | None = None) -> DataFrame:
+    """h: hashes of the names, or of name and representative of the classes that a filter lets through."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, ids = (batch.column(c).fill_null(0).to_numpy().view(np.uint64) for c in ("name", "rep"))
+            hashes = mix(names) if within is None else mix(names ^ mix(ids))[within.has(mix(names))]
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["h"])
+
+    return classes.select("name", "rep").mapInArrow(rows, "h long")
+
+
+def _more(n: np.ndarray | int, percent: int) -> np.ndarray:
+    """How many shingles beyond the shortest necessary prefix are tested, plus one: more of them cost more
+    rows and let through fewer sets."""
+    return np.maximum(1, n * (100 - percent) // 200)
+
+
+def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
+    return np.where(n > 0, n - -(-n * percent // 100) + _more(n, percent), 0)
+
+
+def least_shared(n: np.ndarray, percent: int) -> np.ndarray:
+    """Sets that link have so many shingles in common in their prefixes, of any global order.
+
+    The overlap o is at least percent of either size. The k-th common shingle has o - k common ones after
+    it, so it is among the first n - o + k of both; k is bounded by the smallest partner's prefix.
+    """
+    return _more(-(-n * percent // 100), percent)
+
+
+def _prefixes(batch: pa.RecordBatch, size: int, percent: int, once: _Once) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(names, owners, shingles) of a batch's classes, without repeats, in the order of the shingles."""
+    names, shingles = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for part, (hashes, bounds, name, _) in _sets(iter([batch]), size):
+        n = np.diff(bounds)
+        taken = np.where(once.further(name, part.column("doc_id")), 0, prefix_sizes(n, percent))
+        place = np.arange(len(hashes)) - np.repeat(bounds[:-1], n)
+        shingles.append(mix(hashes[place < np.repeat(taken, n)]))
+        names.append(np.repeat(name, taken))
+    shingles = np.concatenate(shingles)
+    names, owners = np.unique(np.concatenate(names), return_inverse=True)
+    order = np.lexsort((owners, shingles))
+    owners, shingles = owners[order], shingles[order]
+    new = np.ones(len(owners), bool)
+    new[1:] = (owners[1:] != owners[:-1]) | (shingles[1:] != shingles[:-1])
+    return names, owners[new], shingles[new]
+
+
+def _segments(docs: DataFrame, size: int, bits: int, percent: int, once: _Once) -> DataFrame:
+    """fragment, and packed for a batch of rows: names, sizes of their segments, shingles.
+
+    Shingles that several classes of the batch have are counted here: one row of a negative fragment has the
+    names and their counts, and of such a shingle a single mark goes on, so that a shingle of very many
+    classes is one entry for each batch.
+    """
+
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (hashes, bounds, name, _) in _sets(batches, size):
-            _, once = np.unique(name, return_index=True)
-            again = np.ones(len(name), bool)
-            again[once] = False
-            counts = np.where(again, 0, np.diff(bounds))
-            owner = np.repeat(np.arange(len(name)), np.diff(bounds))
-            hashes, owner = hashes[~again[owner]], np.repeat(np.arange(len(name)), counts)
-            fragment = (hashes >> np.uint64(64 - bits)).astype(np.int32)
-            order = np.argsort(fragment, kind="stable")
-            fragment, owner = fragment[order], owner[order]
-            rest = ((hashes[order] >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            found, at = np.unique(fragment, return_index=True)
-            if not len(found):
+        for batch in batches:
+            names, owners, shingles = _prefixes(batch, size, percent, once)
+            if not len(names):
                 continue
+            first = np.ones(len(shingles), bool)
+            first[1:] = shingles[1:] != shingles[:-1]
+            common = np.bincount(np.cumsum(first) - 1)[np.cumsum(first) - 1] > 1
+            hits = np.bincount(owners[common], minlength=len(names))
+            owners = np.where(common, len(names), owners)[~common | first]
+            shingles, names = shingles[~common | first], np.append(names, _MARK)
+            fragment = (shingles >> np.uint64(64 - bits)).astype(np.int32)
+            order = np.lexsort((owners, fragment))
+            owners, fragment = owners[order], fragment[order]
+            rest = ((shingles[order] >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            found, at = np.unique(fragment, return_index=True)
             columns: list[list] = [[], [], []]
             for begin, end in zip(at, [*at[1:], len(fragment)], strict=True):
-                who, sizes = np.unique(owner[begin:end], return_counts=True)
-                columns[0].append(name[who].tobytes())
+                who, sizes = np.unique(owners[begin:end], return_counts=True)
+                columns[0].append(names[who].tobytes())
                 columns[1].append(sizes.astype(np.uint32).tobytes())
                 columns[2].append(rest[begin:end].tobytes())
+            counted = np.flatnonzero(hits)
+            columns[0].append(names[counted].tobytes())
+            columns[1].append(hits[counted].astype(np.uint32).tobytes())
+            columns[2].append(b"")
+            aside = -1 - int(names[0] & ((1 << bits) - 1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)],
+                [pa.array([*found.tolist(), aside], pa.int32()), *(pa.array(c, pa.binary()) for c in columns)],
                 ["fragment", "names", "sizes", "shingles"],
             )
 
@@ -108,7 +194,7 @@ def _segments(docs: DataFrame, size: int, bits: int) -> DataFrame:
 
 
 def _count_shared(group: pa.Table) -> pa.Table:
-    """name, shared: in one fragment, how many of a class's shingles another class has too.
+    """name, shared: one row for each shingle in the fragment that another class has too.
 
     The fragment is worked on in slices of its hashes, so that little more than itself is in memory.
     """
@@ -116,11 +202,14 @@ def _count_shared(group: pa.Table) -> pa.Table:
     def column(name: str, kind: type) -> np.ndarray:
         return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group.column(name)])
 
-    names, owner = np.unique(column("names", np.int64), return_inverse=True)
-    owner = np.repeat(owner.astype(np.uint32), column("sizes", np.uint32))
+    names, sizes = column("names", np.int64), column("sizes", np.uint32)
+    if group.column("fragment")[0].as_py() < 0:
+        return pa.table({"name": names, "shared": sizes.astype(np.int64)})
+    names, owner = np.unique(names, return_inverse=True)
+    owner = np.repeat(owner.astype(np.uint32), sizes)
     shingles = column("shingles", np.uint32)
     slice_of = (shingles >> np.uint32(32 - SLICES_LOG2)).astype(np.uint8)
-    counts = np.zeros(len(names), np.int64)
+    out = [np.zeros(0, np.int64)]
     for number in range(1 << SLICES_LOG2):
         here = slice_of == number
         keys = np.unique((shingles[here].astype(np.uint64) << np.uint64(32)) | owner[here])
@@ -129,28 +218,33 @@ def _count_shared(group: pa.Table) -> pa.Table:
         shared = np.zeros(len(keys), bool)
         shared[1:] |= same
         shared[:-1] |= same
-        counts += np.bincount((keys[shared] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(names))
-    held = counts > 0
-    return pa.table({"name": names[held], "shared": counts[held]})
-
-
-def shared_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those classes whose shared shingles are at least the given percentage of the set."""
-    total = classes.agg(F.sum("n")).first()[0] or 0
-    bits = max(4, math.ceil(math.log2(max(1, total / FRAGMENT_SHINGLES))))
+        out.append(names[(keys[shared] & np.uint64(0xFFFFFFFF)).astype(np.int64)])
+    held = np.concatenate(out)
+    held = held[held != _MARK]
+    return pa.table({"name": held, "shared": np.ones(len(held), np.int64)})
+
+
+def shared_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int, bits: int | None = None) -> DataFrame:
+    """Those classes whose prefixes have as many shingles in common with others as sets that link must have."""
+    of = classes.agg(F.sum("n").alias("n"), F.sum("copies").alias("rows")).first()
+    tested = (of.n or 0) * (100 - percent) * 3 / 200
+    bits = bits or max(4, math.ceil(math.log2(max(1, tested / FRAGMENT_SHINGLES))))
+    once = _Once(classes, of.rows or 0)
     counted = (
-        _segments(docs, size, bits)
+        _segments(docs, size, bits, percent, once)
         .groupBy("fragment")
         .applyInArrow(_count_shared, "name long, shared long")
         .groupBy("name")
         .agg(F.sum("shared").alias("shared"))
     )
-    return classes.join(counted, "name").filter(F.col("shared") * 100 >= F.col("n") * percent).drop("shared")
+    at_least = F.expr(f"greatest(1, ((n * {percent} + 99) div 100) * {100 - percent} div 200)")
+    return classes.join(counted, "name").filter(F.col("shared") >= at_least).drop("shared")
 
 
 def _set_rows(docs: DataFrame, size: int, wanted: bloom.Bloom) -> DataFrame:
     """doc_id, name, shingles of the rows whose id the filter lets through, null ids included."""
 
+    @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
@@ -163,9 +257,9 @@ def _set_rows(docs: DataFrame, size: int, wanted: bloom.Bloom) -> DataFrame:
     return docs.mapInArrow(rows, "doc_id long, name long, shingles array<long>")
 
 
-def ordered_sets(docs: DataFrame, kept: DataFrame, size: int, unique_ids: bool) -> DataFrame:
+def ordered_sets(docs: DataFrame, kept: DataFrame, size: int, percent: int, unique_ids: bool) -> DataFrame:
     """name, n, own, parts: shingles that no other kept set has are only counted (`own`), the rest
-    is listed in the global order as (level, shingle).
+    is listed in the global order as (level, shingle). Sets with too few of these go.
 
     Each kept class is taken back from one row. A filter of those rows' ids lets the scan drop nearly
     all others before it makes sets, so that texts are not shuffled; the join then is exact.
@@ -188,6 +282,7 @@ def ordered_sets(docs: DataFrame, kept: DataFrame, size: int, unique_ids: bool)
         .groupBy("name", "n")
         .agg(F.sort_array(F.collect_list(F.struct("level", "shingle"))).alias("parts"))
         .withColumn("own", F.col("n") - F.size("parts"))
+        .filter(F.size("parts") * 100 >= F.col("n") * percent)
     )
     with kept_in_memory(sets):
         return snapshot(ordered, scratch_path(docs.sparkSession, "jaccard-sets"))
@@ -321,11 +416,12 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bound, folder = _Bound(percent), scratch_path(docs.sparkSession, "jaccard")
     stats = snapshot(shingle_stats(docs, size), f"{folder}/stats")
-    classes = stats.filter("n_shingles > 0").groupBy("n_shingles", "sig_a", "sig_b").agg(F.min("doc_id").alias("rep"))
-    classes = classes.select(F.col("sig_a").alias("name"), F.col("n_shingles").alias("n"), "rep")
+    classes = stats.filter("n_shingles > 0").groupBy("n_shingles", "sig_a", "sig_b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    classes = classes.select(F.col("sig_a").alias("name"), F.col("n_shingles").alias("n"), "rep", "copies")
+    classes = snapshot(classes, f"{folder}/classes")
     kept = snapshot(shared_classes(docs, classes, size, percent), f"{folder}/kept")
     unique_ids = stats.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    sets = ordered_sets(docs, kept, size, unique_ids)
+    sets = ordered_sets(docs, kept, size, percent, unique_ids)
     entries = _entries(sets, bound)
     roots = connected_components(verified(_star_pairs(entries), sets, bound))
     more = verified(_cross_pairs(entries, roots), sets, bound)

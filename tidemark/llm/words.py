@@ -7,7 +7,9 @@ bits and depend on the bytes of the words only, so they agree between tasks and
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +37,28 @@ def small_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(rows: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The batch function `rows`, before and after which the worker gives freed memory back.
+
+    Workers serve one task after the other, and what the one before has freed would else stay with them.
+    """
+
+    @functools.wraps(rows)
+    def run(batches: Iterator) -> Iterator:
+        _give_back()
+        yield from rows(batches)
+        _give_back()
+
+    return run
+
+
 def byte_class(pattern_bytes: bytes, inverted: bool = False) -> np.ndarray:
     """Table of 256 booleans: which bytes belong to words."""
     table = np.zeros(256, bool)
