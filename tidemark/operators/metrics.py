@@ -1,4 +1,4 @@
-"""Evaluation metrics as one-row DataFrames.
+"""Evaluation metrics as one-row DataFrames, or as one row per group where groups are named.
 
 All are plain aggregates: partial sums per task, then one row. The area under
 the curve is exact and does not depend on row order or on a number of bins.
@@ -6,6 +6,8 @@ the curve is exact and does not depend on row order or on a number of bins.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,13 +17,12 @@ from tidemark.sources.cache import kept
 
 
 def regression_metrics(
-    df: DataFrame, label_col: str = "label", prediction_col: str = "prediction"
+    df: DataFrame, label_col: str = "label", prediction_col: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:
     """rmse, mse and mae in one pass."""
     error = F.col(label_col) - F.col(prediction_col)
-    return df.agg(F.avg(error * error).alias("mse"), F.avg(F.abs(error)).alias("mae")).select(
-        F.sqrt("mse").alias("rmse"), "mse", "mae"
-    )
+    found = df.groupBy(*by).agg(F.avg(error * error).alias("mse"), F.avg(F.abs(error)).alias("mae"))
+    return found.select(*by, F.sqrt("mse").alias("rmse"), "mse", "mae")
 
 
 def accuracy(
@@ -34,57 +35,65 @@ def accuracy(
 
 
 def area_under_roc(
-    df: DataFrame, label_col: str = "label", score_col: str = "score", weight: Column | None = None
+    df: DataFrame,
+    label_col: str = "label",
+    score_col: str = "score",
+    weight: Column | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Share of (positive, negative) pairs ranked rightly, ties count half.
 
     Null when a class is missing. A positive wins against the negatives with a
     lower score: those of the lower ranges and those before it in its own. No pair is formed,
     and what is added up over all ranges is one row per range. `weight` is how many rows a row
-    stands for.
+    stands for. With `by` there is one row per group, all found in one job; a group of most rows is
+    split into ranges like a whole table.
     """
     times = F.lit(1) if weight is None else weight
     of = lambda label: F.coalesce(F.sum(F.when(F.col(label_col) == label, times)), F.lit(0))
-    scored = counted_ranges(df, score_col, {"pos": of(1), "neg": of(0)})
+    scored = counted_ranges(df, score_col, {"pos": of(1), "neg": of(0)}, by=by)
     # Twice the wins, so that half a win for a tie stays whole.
     wide = "decimal(38,0)"
-    in_range = sum_below("neg", W.partitionBy("_range").orderBy(score_col))
+    in_range = sum_below("neg", W.partitionBy(*by, "_range").orderBy(score_col))
     per_range = (
         scored.select(
+            *by,
             "_range",
             "pos",
             "neg",
             (F.col("pos").cast(wide) * (2 * in_range + F.col("neg"))).alias("wins"),
         )
-        .groupBy("_range")
+        .groupBy(*by, "_range")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("wins").alias("wins"))
     )
-    lower = sum_below("neg", W.orderBy("_range"))
+    # As many rows for each group as there are ranges.
+    lower = sum_below("neg", W.partitionBy(*by).orderBy("_range"))
     wins = F.sum(F.col("wins") + F.col("pos").cast(wide) * 2 * F.col("lower"))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
-    return per_range.select("pos", "neg", "wins", lower.alias("lower")).agg(
+    return per_range.select(*by, "pos", "neg", "wins", lower.alias("lower")).groupBy(*by).agg(
         F.try_divide(wins.cast("double"), 2 * pairs).alias("area_under_roc")
     )
 
 
 def confusion(
-    df: DataFrame, label_col: str = "label", prediction_col: str = "prediction"
+    df: DataFrame, label_col: str = "label", prediction_col: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:
     """Rows per (label, prediction)."""
     return df.groupBy(
+        *by,
         F.col(label_col).cast("double").alias("label"),
         F.col(prediction_col).cast("double").alias("prediction"),
     ).agg(F.count("*").alias("n"))
 
 
 def f1_weighted(
-    df: DataFrame, label_col: str = "label", prediction_col: str = "prediction"
+    df: DataFrame, label_col: str = "label", prediction_col: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:
     """F1 per class, weighted by the class's share of the labels."""
-    return _f1_of_counts(confusion(df, label_col, prediction_col))
+    return _f1_of_counts(confusion(df, label_col, prediction_col, by), by)
 
 
-def _f1_of_counts(counts: DataFrame) -> DataFrame:
+def _f1_of_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Of (label, prediction, n)."""
     seen_as = F.explode(
         F.array(
@@ -96,8 +105,8 @@ def _f1_of_counts(counts: DataFrame) -> DataFrame:
     )
     hits = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
     per_class = (
-        counts.select(seen_as.alias("side"), hits.alias("hits"))
-        .groupBy("side.class")
+        counts.select(*by, seen_as.alias("side"), hits.alias("hits"))
+        .groupBy(*by, "side.class")
         .agg(
             F.sum("side.support").alias("support"),
             F.sum("side.predicted").alias("predicted"),
@@ -108,7 +117,7 @@ def _f1_of_counts(counts: DataFrame) -> DataFrame:
     f1 = F.coalesce(
         F.try_divide(2 * F.col("hits"), F.col("support") + F.col("predicted")), F.lit(0.0)
     )
-    return per_class.agg(
+    return per_class.groupBy(*by).agg(
         F.try_divide(F.sum(F.col("support") * f1), F.sum("support")).alias("f1_weighted")
     )
 

@@ -77,16 +77,21 @@ def counted_ranges(
     order_col: str,
     counts: Mapping[str, Column],
     ranges: int | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """One row per distinct value of `order_col` with its counts and its `_range`.
 
     The column holds numbers, dates or timestamps; null is the smallest value.
     Every value of a range is below every value of the next. `ranges` is rounded
     up to a power of two; by default it follows the shuffle partitions up to `MAX_RANGES`.
+
+    With `by` there is a row per group and value. All groups share the cut points, which are
+    quantiles of their values together, so no group has more values in a range than all groups
+    have in it on average, however its values are spread.
     """
     ranges = 1 << ((_range_count(df) if ranges is None else ranges) - 1).bit_length()
     # The only pass over the rows; copies of a value are folded before the shuffle.
-    values = df.groupBy(order_col).agg(*[c.alias(name) for name, c in counts.items()])
+    values = df.groupBy(*by, order_col).agg(*[c.alias(name) for name, c in counts.items()])
     # Counts are never negative. Reading them all the same keeps this plan's shuffle
     # equal to that of `values`, so Spark runs it once for both. The result is one
     # row: an aggregate without keys.

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import Estimator, Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import metrics, models, tuning
+from tidemark.operators import batched, metrics, models, tuning
 from tidemark.operators.features import FEATURES, HASH_SLOTS, SCALED, feature_stages
 from tidemark.operators.schema import positive_label
 from tidemark.operators.splits import CLAIM_FRACTIONS, sample, stratified_split
@@ -24,6 +25,14 @@ class ClaimsRun:
     tuned: dict[str, tuning.Tuned]
 
 
+def _side_by_side(rows: DataFrame, stages: Sequence[Estimator], handle_invalid: str, encoding: str) -> bool:
+    """Whether all settings can train in common scans: every level has a slot and vectors are short."""
+    if encoding == "index" and handle_invalid != "keep":
+        return False
+    first = Pipeline(stages=list(stages)).fit(rows).transform(rows).select(FEATURES).first()
+    return first is not None and first[FEATURES].size <= batched.MAX_WIDTH
+
+
 def run_claims(
     policies: DataFrame,
     features: Sequence[str],
@@ -45,7 +54,8 @@ def run_claims(
 ) -> ClaimsRun:
     """Tune and test Poisson, L1 and L2 logistic regression.
 
-    Settings are compared on `cv_fraction` of the training rows; with
+    Settings are compared on `cv_fraction` of the training rows, all in common scans unless vectors are
+    longer than `batched.MAX_WIDTH` or levels may be left out; with
     `refit_on_all` the best one is then fitted on all of them. `scale` trains on
     the scaled vectors. `encoding` and `slots` are those of `feature_stages`. `offset_col` takes the exposure out of the features and
     into the Poisson model as a log offset.
@@ -78,11 +88,14 @@ def run_claims(
             tuning.area_under_roc(label_col),
         ),
     }
+    refit_on = train if refit_on_all else None
     with kept(chosen) as chosen_rows:
-        tuned = tuning.cross_validate(
-            chosen_rows, candidates, folds, keys, seed + 2, stages, parallelism,
-            refit_on=train if refit_on_all else None,
-        )
+        if _side_by_side(chosen_rows, stages, handle_invalid, encoding):
+            tuned = tuning.cross_validate_linear(
+                chosen_rows, candidates, folds, keys, seed + 2, stages, parallelism, refit_on, FEATURES, scale
+            )
+        else:
+            tuned = tuning.cross_validate(chosen_rows, candidates, folds, keys, seed + 2, stages, parallelism, refit_on)
     values, coefficients = [], []
     # All candidates share their feature stages.
     encoder = tuned["poisson"].model.stages[0]
