@@ -619,7 +619,6 @@ def _claims(spark: SparkSession, directory: str) -> DataFrame:
         fixtures.policies(spark, directory),
         fixtures.POLICY_FEATURE_COLUMNS,
         ["policy_id"],
-        regularisation=[0.01, 1.0],
         cv_fraction=1.0,
     )
     return run.report
@@ -632,7 +631,7 @@ def _classifiers(spark: SparkSession, directory: str) -> DataFrame:
         ["vec_id"],
         grids={
             "random_forest": {"maxDepth": [5], "numTrees": [10, 15]},
-            "gradient_boosting": {"maxDepth": [3], "maxIter": [10], "stepSize": [0.2, 0.3]},
+            "gradient_boosting": {"maxDepth": [3], "maxIter": [10, 5], "stepSize": [0.2, 0.3]},
             "neural_network": {"maxIter": [50, 100], "blockSize": [30]},
         },
         fraction=1.0,

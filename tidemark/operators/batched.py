@@ -270,10 +270,11 @@ def fit_batch(rows: DataFrame, problems: Sequence[Problem], tolerance: float = 1
     return Batch(models, scans)
 
 
-def score_batch(rows: DataFrame, models: Sequence[Fitted], held_out: bool = True) -> DataFrame:
-    """(number, fold, label, score): every model's mean for the rows of its fold, or for all rows.
+def score_batch(rows: DataFrame, models: Sequence[Fitted], held_out: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """(number, fold, label, score, *keep): every model's mean for the rows of its fold, or for all rows.
 
-    One scan and one long table for all models; `number` is the model's place in `models`.
+    One scan and one long table for all models; `number` is the model's place in `models`. `keep` names
+    number columns of `rows` to pass on.
     """
     betas = [np.append(m.coefficients, m.intercept) for m in models]
 
@@ -291,8 +292,10 @@ def score_batch(rows: DataFrame, models: Sequence[Fitted], held_out: bool = True
                         pa.array(fold[at], pa.int32()),
                         pa.array(_number(batch, model.problem.label)[at]),
                         pa.array(mean),
+                        *(pa.array(_number(batch, c)[at]) for c in keep),
                     ],
-                    ["number", "fold", "label", "score"],
+                    ["number", "fold", "label", "score", *keep],
                 )
 
-    return rows.mapInArrow(score, "number int, fold int, label double, score double")
+    kept = "".join(f", `{c}` double" for c in keep)
+    return rows.mapInArrow(score, "number int, fold int, label double, score double" + kept)
