@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog.inputs import POLICIES, RATINGS, hash_fraction
 from tidemark.catalog.registry import Query, rounded
 from tidemark.operators import features, models, schema, tuning
+from tidemark.operators.factorization import factorize
 from tidemark.operators.features import FEATURES, SCALED
 from tidemark.operators.splits import CLAIM_FRACTIONS, TEMPORAL_THRESHOLDS
 from tidemark.plans import claims, particles, recommender
@@ -287,6 +288,22 @@ def _product_predictions(spark: SparkSession, directory: str) -> DataFrame:
     return rounded(scored, "prediction", digits=2)
 
 
+def _hot_user_ratings(spark: SparkSession, directory: str) -> DataFrame:
+    """Ratings as products of factors, a third of them by one user."""
+    hot = F.when(F.col("movieId") % 3 == 0, F.lit(0)).otherwise(F.col("userId"))
+    ratings = fixtures.ratings(spark, directory).select(hot.alias("userId"), "movieId")
+    user = F.element_at(F.array(*[F.lit(f) for f in _USER_FACTORS]), (F.col("userId") % 3 + 1).cast("int"))
+    return ratings.withColumn("rating", (user * (F.col("movieId") % 2 + 1)).cast("double"))
+
+
+def _hot_user_predictions(spark: SparkSession, directory: str) -> DataFrame:
+    ratings = _hot_user_ratings(spark, directory)
+    with kept(ratings):
+        # Parts of a thousand ratings at least, so that the hot user's are many at any size.
+        found = factorize(ratings, rank=1, max_iter=14, strength=1e-6, part_rows=max(1000, ratings.count() // 100))
+        return rounded(found.transform(ratings), "prediction", digits=1)
+
+
 def _product_factors(spark: SparkSession, directory: str) -> DataFrame:
     ratings = _product_ratings(spark, directory)
     with kept(ratings):
@@ -737,6 +754,14 @@ QUERIES = [
           (user_factor * movie_factor)::double AS rating,
           (user_factor * movie_factor)::double AS prediction FROM products""",
     ),
+    Query(
+        "model_als_hot_user",
+        _hot_user_predictions,
+        f"""WITH {RATINGS}, hot AS (
+          SELECT CASE WHEN "movieId" % 3 = 0 THEN 0 ELSE "userId" END AS "userId", "movieId" FROM ratings)
+        SELECT "userId", "movieId", (({list(_USER_FACTORS)})[("userId" % 3 + 1)::int] * ("movieId" % 2 + 1))::double AS rating,
+          rating AS prediction FROM hot""",
+    ),
     Query(
         "als_user_factors",
         _product_factors,
