@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.catalog import evaluation, grids, modelling, ranking, ratings, tables, weblog
+from tidemark.catalog import evaluation, grids, kept, modelling, ranking, ratings, tables, weblog
 from tidemark.catalog.registry import Query
 
 ALL: dict[str, Query] = {
     query.name: query
-    for module in (weblog, tables, ranking, ratings, evaluation, modelling, grids)
+    for module in (weblog, tables, ranking, ratings, evaluation, modelling, grids, kept)
     for query in module.QUERIES
 }

@@ -79,6 +79,11 @@ def day_of_month(time: Column) -> Column:
     return _in_range(F.split_part(time, F.lit("/"), F.lit(1)).try_cast("int"), 1, DAYS)
 
 
+def local_date(time: Column) -> Column:
+    """Date in the log's own local time, null if unreadable."""
+    return F.try_to_date(F.split_part(time, F.lit(":"), F.lit(1)), "dd/MMM/yyyy")
+
+
 def hour_of_day(time: Column) -> Column:
     """Hour in the log's own local time, null if unreadable."""
     return _in_range(F.split_part(time, F.lit(":"), F.lit(2)).try_cast("int"), 0, HOURS - 1)

@@ -15,12 +15,16 @@ def country_report(
     k: int = TOP_HOSTS,
     suffixes: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """One row per country: requests, unique hosts, the top host, and the share of the top k.
+    """One row per country: requests, unique hosts, the top host, and the share of the top k."""
+    return report_of_counts(host_counts(requests, suffixes), k)
 
-    Everything comes from one table of host counts. Totals and top hosts are both
+
+def report_of_counts(counts: DataFrame, k: int = TOP_HOSTS) -> DataFrame:
+    """`country_report` of a table (country, host, requests).
+
+    Everything comes from that one table. Totals and top hosts are both
     partitioned by country already, so joining them moves nothing.
     """
-    counts = host_counts(requests, suffixes)
     totals = counts.groupBy("country").agg(
         F.sum("requests").alias("requests"), F.count("*").alias("unique_hosts")
     )
