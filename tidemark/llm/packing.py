@@ -20,7 +20,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import _byte_characters, _ragged
-from tidemark.llm.words import Block, Words, blocks, small_batches, word_hashes
+from tidemark.llm.words import Block, Words, blocks, lean, small_batches, word_hashes
 from tidemark.sources.files import scratch_path, snapshot
 
 # Fixed values of the vocabulary's kind: the pattern that cuts texts to pieces.
@@ -39,16 +38,13 @@ KNOWN_SEGMENTS = 400_000
 BLOCK = 1 << 19
 
 
-def encoding_of(vocabulary: str) -> tuple[tiktoken.Encoding, list[bytes]]:
-    """The encoding of a vocabulary file's text, and its special strings.
-
-    The file is one of byte-level BPE whose merges are in the order of its ids.
-    """
-    content = json.loads(vocabulary)
+def read_vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """(tokens, special strings) with their ids, of a file of byte-level BPE whose merges are in the order of the ids."""
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
     octet = {c: b for b, c in enumerate(_byte_characters())}
     special = {t["content"]: t["id"] for t in content["added_tokens"]}
-    ranks = {bytes(map(octet.__getitem__, token)): i for token, i in content["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special), [s.encode() for s in special]
+    return {bytes(map(octet.__getitem__, t)): i for t, i in content["model"]["vocab"].items() if t not in special}, special
 
 
 def segments(block: Block) -> Words:
@@ -68,8 +64,9 @@ def segments(block: Block) -> Words:
 class Encoder:
     """Ids of blocks of texts; segments seen before are looked up."""
 
-    def __init__(self, vocabulary: str) -> None:
-        self.encoding, self.special = encoding_of(vocabulary)
+    def __init__(self, tokens: dict[bytes, int], special: dict[str, int]) -> None:
+        self.encoding = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=tokens, special_tokens=special)
+        self.special = [s.encode() for s in special]
         self._forget()
 
     def _forget(self) -> None:
@@ -116,11 +113,11 @@ def token_pieces(docs: DataFrame, vocabulary_file: str, capacity: int, end_id: i
     ids_crc32 is their checksum. nth numbers the pieces of one length in task `part`.
     """
     docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    with open(vocabulary_file, encoding="utf-8") as file:
-        vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
+    vocabulary = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_file))
 
+    @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, counter, part = Encoder(vocabulary.value), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
+        encoder, counter, part = Encoder(*vocabulary.value), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
         for batch in batches:
             for block in blocks(batch.column("text"), size=BLOCK):
                 ids, ends = encoder.block(block)
@@ -238,21 +235,23 @@ def packed(pieces: DataFrame, capacity: int) -> DataFrame:
     counts = snapshot(counts, scratch_path(pieces.sparkSession, "piece-counts"))
     totals = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     steps, _ = best_fit_plan(totals, capacity)
-    plan = pieces.sparkSession.sparkContext.broadcast(steps[np.lexsort((steps[:, 1], steps[:, 0]))])
-
-    @F.pandas_udf("sequence_id long, offset long")
-    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        steps, length, rank = plan.value, length.to_numpy(), rank.to_numpy()
-        width = max(int(steps[:, 1].max(initial=0)), int(rank.max(initial=0))) + 1
-        at = np.searchsorted(steps[:, 0] * width + steps[:, 1], length * width + rank, "right") - 1
-        _, first, each, sequence, offset = steps[at].T
-        nth = rank - first
-        return pd.DataFrame({"sequence_id": sequence + nth // each, "offset": offset + nth % each * length})
+    steps = steps[np.lexsort((steps[:, 1], steps[:, 0]))]
+    until = [totals[k] for k in steps[:, 0].tolist()]
+    until[:-1] = np.where(steps[1:, 0] == steps[:-1, 0], steps[1:, 1], until[:-1]).tolist() if len(steps) > 1 else until[:-1]
+    names = ["length", "first", "each", "sequence", "begin"]
+    plan = pa.table({**dict(zip(names, steps.T, strict=True)), "until": pa.array(until, pa.int64())})
+    plan = F.broadcast(pieces.sparkSession.createDataFrame(plan)).alias("plan")
 
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("before"))
-    placed = pieces.join(counts, ["length", "part"]).withColumn("at", place(F.col("length"), F.col("before") + F.col("nth")))
-    return placed.select(*[c for c in pieces.columns if c not in ("part", "nth")], "at.sequence_id", "at.offset")
+    placed = pieces.join(counts, ["length", "part"]).withColumn("rank", F.col("before") + F.col("nth")).alias("p")
+    nth = F.col("rank") - F.col("plan.first")
+    placed = placed.join(plan, (F.col("p.length") == F.col("plan.length")) & (nth >= 0) & (F.col("rank") < F.col("plan.until")))
+    return placed.select(
+        *[f"p.{c}" for c in pieces.columns if c not in ("part", "nth")],
+        (F.col("plan.sequence") + F.expr("(rank - plan.first) div plan.each")).alias("sequence_id"),
+        (F.col("plan.begin") + nth % F.col("plan.each") * F.col("p.length")).alias("offset"),
+    )
 
 
 def pack(docs: DataFrame, vocabulary_file: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
