@@ -47,7 +47,7 @@ HEADLINE = [
 FITS = {
     "als_report_ratings": 6,
     "cluster_genres_by_split": 3,
-    "claims_report_all_features": 21,
+    "claims_report_all_features": 48,
     "classifier_report_particles": 21,
 }
 
