@@ -67,7 +67,7 @@ POLICY_FEATURE_COLUMNS = [
 
 
 def particles(spark: SparkSession, directory: str) -> DataFrame:
-    """A 0/1 label, 28 measurements, and the row's key."""
+    """A 0/1 label, 28 measurements, and the row's key: the particle table has 28, so each vector of 64 is cut."""
     vector = F.col("embedding")
     return read_table(spark, directory, "embeddings").select(
         F.col("vec_id"),
