@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import Query, ensure_scratch
-from tidemark.llm import bpe, language
+from tidemark.llm import bloom, bpe, language
 from tidemark.llm.catalog import bpe_digests, vocabulary_path
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.jaccard_join import jaccard_components
@@ -25,7 +25,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any letter go; a missing language is filled in, if any was learned.
 
-    A given language stays, whatever the parser takes the text for.
+    A given language stays, whatever the parser takes the text for. Null and empty texts have no letter;
+    an empty table stays empty.
     """
     ensure_scratch(spark)
     parser = language.learn(docs.select("lang", "text"))
@@ -37,21 +38,44 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.withColumnsRenamed({hidden: name for name, hidden in given.items()}).select(docs.columns)
 
 
+def _hidden(docs: DataFrame, *names: str) -> list[str]:
+    """Column names for use inside a stage that no column of docs has."""
+    taken = {c.lower() for c in docs.columns}
+    return [next(n for n in (f"_{name}{'_' * i}" for i in range(len(taken) + 1)) if n not in taken) for name in names]
+
+
+def _long(key: Column) -> Column:
+    return F.xxhash64(key)
+
+
+def _without(docs: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
+    """Rows whose key isn't in the one column of gone; null keys stay.
+
+    A filter of the keys that go, which are few, lets most rows through without a shuffle; the rest is joined.
+    """
+    name, hidden = gone.columns[0], _hidden(docs, "key", "gone", "hash")
+    sure, maybe = bloom.split(docs, _long(key), gone.select(_long(F.col(name)).alias("h")), "h")
+    maybe = maybe.withColumns({hidden[0]: key, hidden[2]: _long(key)})
+    gone = gone.select(F.col(name).alias(hidden[1]), _long(F.col(name)).alias(f"{hidden[2]}b"))
+    same = (F.col(hidden[0]) == F.col(hidden[1])) & (F.col(hidden[2]) == F.col(f"{hidden[2]}b"))
+    return sure.union(maybe.join(gone, same, "left_anti").select(docs.columns))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies stays: the one with the smallest id.
 
     Documents without an id come last and count as one where their texts are equal. Of rows that share
-    the smallest id the one with the smallest hash of its text stays.
+    the smallest id the one with the smallest hash of its text stays. Null and blank texts are components
+    of their own, by id. An empty table stays empty.
     """
     ensure_scratch(spark)
     if not docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
         return _near_duplicates_of_repeated_ids(spark, docs)
     own = F.xxhash64("text").bitwiseAND(2**62 - 1).bitwiseOR(2**62)
-    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), own))
-    found = jaccard_components(rows.select(F.col("_id").alias("doc_id"), "text"))
-    found = snapshot(found, scratch_path(spark, "near-duplicates"))
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return rows.join(kept, "_id", "left_semi").select(docs.columns)
+    key = F.coalesce(F.col("doc_id").cast("long"), own)
+    found = jaccard_components(docs.select(key.alias("doc_id"), "text"))
+    gone = found.filter("doc_id <> component_id").select("doc_id")
+    return _without(docs, key, snapshot(gone, scratch_path(spark, "near-duplicates")))
 
 
 def _near_duplicates_of_repeated_ids(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -59,39 +83,48 @@ def _near_duplicates_of_repeated_ids(spark: SparkSession, docs: DataFrame) -> Da
     row that stays is named by id and hash. Texts without words are components of their own, by id."""
     key = F.xxhash64("text")
     own = key.bitwiseAND(2**62 - 1).bitwiseOR(2**62)
-    rows = docs.withColumn("_text", key).withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), own))
-    found = jaccard_components(rows.select(F.col("_text").alias("doc_id"), "text")).distinct()
-    found = snapshot(found, scratch_path(spark, "near-duplicates")).withColumnRenamed("doc_id", "_text")
-    pairs = rows.select("_id", "_text").distinct().join(found, "_text")
-    alone = F.when(F.col("n_shingles") == 0, F.col("_id"))
-    kept = pairs.groupBy("component_id", alone.alias("alone")).agg(F.min(F.struct("_id", "_text")).alias("first"))
-    rows = rows.join(snapshot(kept.select("first.*"), scratch_path(spark, "representatives")), ["_id", "_text"], "left_semi")
-    return rows.dropDuplicates(["_id", "_text"]).select(docs.columns)
+    text_, id_ = _hidden(docs, "text", "id")
+    rows = docs.withColumns({text_: key, id_: F.coalesce(F.col("doc_id").cast("long"), own)})
+    found = jaccard_components(rows.select(F.col(text_).alias("doc_id"), "text")).distinct()
+    found = snapshot(found, scratch_path(spark, "near-duplicates")).withColumnRenamed("doc_id", text_)
+    pairs = rows.select(id_, text_).distinct().join(found, text_)
+    alone = F.when(F.col("n_shingles") == 0, F.col(id_))
+    kept = pairs.groupBy("component_id", alone.alias("alone")).agg(F.min(F.struct(id_, text_)).alias("first"))
+    rows = rows.join(snapshot(kept.select("first.*"), scratch_path(spark, "representatives")), [id_, text_], "left_semi")
+    return rows.dropDuplicates([id_, text_]).select(docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain too much of the benchmark go."""
+    """Documents that contain too much of the benchmark go; a null text contains nothing and stays."""
     ensure_scratch(spark)
     texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
     found = contamination(texts, read_table(spark, sf_dir, "benchmark")).filter("contaminated")
-    gone = snapshot(found.select(F.col("doc_id").alias("_text")).distinct(), scratch_path(spark, "contaminated"))
-    return docs.join(gone, F.xxhash64("text") == F.col("_text"), "left_anti")
+    found = snapshot(found.select("doc_id").distinct(), scratch_path(spark, "contaminated"))
+    return _without(docs, F.xxhash64("text"), found)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in the texts; all documents stay."""
+    """Secrets are masked in the texts; all documents stay. Null texts have none and stay null.
+
+    n_chars, if there, becomes the length of a text that is masked.
+    """
     ensure_scratch(spark)
-    found = secret_spans(docs).filter("size(spans) > 0").select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    found = snapshot(found.dropDuplicates(["_blob"]), scratch_path(spark, "spans"))
-    rows = docs.join(found, F.sha2("text", 256) == F.col("_blob"), "left")
-    hit = F.col("_spans").isNotNull()
-    rows = rows.withColumn("text", F.when(hit, masked(F.col("text"), F.col("_spans"))).otherwise(F.col("text")))
-    size = F.when(hit, F.length("text")).otherwise(F.col("n_chars"))
-    return rows.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    blob_, spans_ = _hidden(docs, "blob", "spans")
+    found = secret_spans(docs).filter("size(spans) > 0").select(F.col("blob").alias(blob_), F.col("spans").alias(spans_))
+    found = snapshot(found.dropDuplicates([blob_]), scratch_path(spark, "spans"))
+    blob = F.sha2("text", 256)
+    sure, maybe = bloom.split(docs, F.when(blob.isNotNull(), _long(blob)), found.select(_long(F.col(blob_)).alias("h")), "h")
+    rows = maybe.join(found, blob == F.col(blob_), "left")
+    hit = F.col(spans_).isNotNull()
+    rows = rows.withColumn("text", F.when(hit, masked(F.col("text"), F.col(spans_))).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        size = F.when(hit, F.length("text")).otherwise(F.col("n_chars"))
+        rows = rows.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
+    return sure.union(rows.select(docs.columns))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the kept texts and what they decode to, as digests."""
+    """Token ids of the kept texts and what they decode to, as digests; a null text counts as empty."""
     return bpe_digests(bpe.encode(docs, vocabulary_path(), decoded=True))
 
 

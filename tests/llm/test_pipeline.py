@@ -96,6 +96,39 @@ def test_columns_with_clashing_names_pass_through(spark, corpus):
     assert len(rows) == 2 and {(r.score, r.lang_pred, r.name) for r in rows} == {("score", "given", "name")}
 
 
+HELPERS = "_id _text _blob _spans _hash _key _gone _ID h label _h".split()
+
+
+@pytest.mark.parametrize("ids", [[0, 1, 2, 3, 4, 5], [7, 7, 7, None, None, 8]])
+def test_columns_named_like_helpers_pass_through(spark, corpus, ids):
+    near = " ".join(f"w{i}" for i in range(60))
+    texts = [near, near + " x", "token=abcdefgh and more words here", None, "token=abcdefgh and more words here", "one two three four"]
+    docs = table(spark, texts, ids).drop("n_chars")
+    for name in HELPERS[:7] + HELPERS[8:]:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} of "), F.coalesce("text", F.lit("none"))))
+    given = {r.text: r for r in docs.collect()}
+    for name, stage in pipeline.STAGES[:-1]:
+        columns = docs.dtypes
+        docs = stage(spark, docs, corpus[0])
+        assert docs.dtypes == columns, name
+    rows = docs.collect()
+    assert rows and all(r["_blob"].endswith(r.text) or "[assign]" in r.text for r in rows)
+    for row in rows:
+        before = given[row["_text"].removeprefix("_text of ")]
+        assert [row[c] for c in docs.columns if c != "text"] == [before[c] if c != "doc_id" else row.doc_id for c in docs.columns if c != "text"] or row.doc_id in ids
+
+
+def test_rows_that_go_are_found_without_a_shuffle_of_the_rest(spark, corpus):
+    docs = table(spark, [f"text {i}" for i in range(2000)])
+    gone = spark.createDataFrame([(i,) for i in range(0, 2000, 50)], "doc_id long")
+    left = pipeline._without(docs, F.col("doc_id"), gone)
+    assert {r.doc_id for r in left.collect()} == {i for i in range(2000) if i % 50}
+    sure, maybe = pipeline.bloom.split(docs, F.xxhash64("doc_id"), gone.select(F.xxhash64("doc_id").alias("h")), "h")
+    assert "Exchange" not in sure._jdf.queryExecution().executedPlan().toString()
+    assert 40 <= maybe.count() < 200 and sure.count() + maybe.count() == 2000
+    assert sorted(r.doc_id for r in pipeline._without(docs, F.when(F.col("doc_id") > 5, F.col("doc_id")), gone).collect())[:3] == [0, 1, 2]
+
+
 def test_no_language_given(spark, corpus):
     texts = ["one two three four five six seven", "123 !?", "的", None, "…"]
     docs = table(spark, texts).withColumn("lang", F.lit(None).cast("string")).withColumn("lettered", F.lit("given"))

@@ -126,3 +126,28 @@ def test_masked_texts(spark):
     docs = table(spark, texts)
     rows = docs.join(secret_spans(docs), "doc_id").select("doc_id", masked(F.col("text"), F.col("spans")).alias("t")).collect()
     assert {r.doc_id: r.t for r in rows} == {0: "é [assign], [access]", 1: "[assign]!", 2: "clean", 3: None}
+
+
+def test_hostile_token_text_takes_linear_time():
+    import time
+
+    rule = next(r for r in RULES if r.kind == "web_token")
+    compiled = re.compile(rule.pattern, re.ASCII)
+    begun = time.perf_counter()
+    assert not list(compiled.finditer("eyJ" * 200_000))
+    assert len(list(compiled.finditer("eyJaaaaaaaaaaa." * 90_000))) == 30_000
+    assert time.perf_counter() - begun < 5
+    token = "eyJ" + "a" * 12 + ".eyJ" + "b" * 12 + "." + "c" * 12
+    assert [m.span() for m in compiled.finditer(f"x {token}, {token}")] == [(2, 2 + len(token)), (4 + len(token), 4 + 2 * len(token))]
+
+
+def test_new_blobs_are_scanned_where_they_are(spark, tmp_path):
+    """Copies and seen blobs take the join, all others don't; every blob is scanned once."""
+    texts = [f"password=abcdefgh{i}" for i in range(50)] + ["password=abcdefgh7"] * 5 + [None, ""]
+    folder = str(tmp_path)
+    ledger = Ledger(spark, folder)
+    update(table(spark, texts[:10]), ledger)
+    update(table(spark, texts), ledger)
+    assert ledger.read().count() == 51 == ledger.read().select("blob").distinct().count()
+    found = {r.doc_id: len(r.spans) for r in secret_spans(table(spark, texts), folder).collect()}
+    assert found == {i: int(bool(t)) for i, t in enumerate(texts)} and ledger.read().count() == 51

@@ -17,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import small_batches
-from tidemark.sources.files import scratch_path
+from tidemark.llm import bloom
+from tidemark.llm.words import lean, small_batches
+from tidemark.sources.files import scratch_path, snapshot
 
 
 @dataclass(frozen=True)
@@ -50,7 +51,7 @@ RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]+", least=16),
     Rule("hex", 1, r"[0-9a-f]{32,}", least=32),
     Rule("private_key", 2, r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[^-]|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----)?"),
-    Rule("web_token", 1, r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    Rule("web_token", 2, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+"),
     Rule("prefixed", 1, r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})"),
     Rule("in_url", 2, r"\b[a-z][a-z0-9+.-]{1,20}://[^\s:/@]++:[^\s:/@]{3,}+@"),
 )
@@ -70,6 +71,7 @@ def find_spans(text: str, rules: tuple[Rule, ...], compiled: dict[str, re.Patter
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """blob, rules, spans of rows (blob, text, rules: names of the rules to apply)."""
 
+    @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = {r.name: re.compile(r.pattern, re.ASCII | (re.IGNORECASE if r.any_case else 0)) for r in rules}
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
@@ -112,22 +114,27 @@ def _blob(text: Column) -> Column:
 def update(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Scan what the ledger lacks; returns (doc_id, blob) of every row of docs (doc_id, text).
 
-    Texts are fetched by one row for each unseen blob, so those of seen blobs and further copies are
-    never scanned.
+    Rows whose blob is surely no other row's and surely unseen are scanned where they are. The rest is
+    joined with one row for each unseen blob, so texts of seen blobs and further copies are never scanned.
     """
     docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    paths = docs.select("doc_id", _blob(F.col("text")).alias("blob"))
+    blob = _blob(F.col("text"))
+    paths = docs.select("doc_id", blob.alias("blob"))
     wanted = F.array(*[F.lit(r.name) for r in rules])
+    seen = ledger.seen()
+    counted = snapshot(paths.groupBy("blob").agg(F.min("doc_id").alias("at"), F.count("*").alias("rows")), scratch_path(docs.sparkSession, "blobs"))
+    special = counted.filter("rows > 1").select("blob").union(seen.select("blob")).select(F.xxhash64("blob").alias("h"))
+    sure, maybe = bloom.split(docs, F.xxhash64(blob), special, "h")
     missing = (
-        paths.groupBy("blob")
-        .agg(F.min("doc_id").alias("at"))
-        .join(ledger.seen(), "blob", "left")
+        counted.join(seen, "blob", "left")
         .withColumn("rules", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))))
         .filter("size(rules) > 0")
         .select("at", F.col("blob").alias("wanted"), "rules")
     )
-    texts = docs.join(missing, F.col("doc_id").eqNullSafe(F.col("at"))).filter(_blob(F.col("text")) == F.col("wanted"))
-    ledger.append(scan(texts.select(F.col("wanted").alias("blob"), "text", "rules"), rules))
+    texts = maybe.join(missing, F.col("doc_id").eqNullSafe(F.col("at"))).filter(blob == F.col("wanted"))
+    texts = texts.select(F.col("wanted").alias("blob"), "text", "rules")
+    fresh = sure.select(blob.alias("blob"), "text", wanted.alias("rules"))
+    ledger.append(scan(fresh.union(texts), rules))
     return paths
 
 
