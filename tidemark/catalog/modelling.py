@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.catalog.inputs import POLICIES, RATINGS, hash_fraction
+from tidemark.catalog.inputs import MOVIES, POLICIES, RATINGS, hash_fraction
 from tidemark.catalog.registry import Query, rounded
 from tidemark.operators import features, models, schema, tuning
 from tidemark.operators.factorization import factorize
@@ -422,6 +422,45 @@ def _cluster_genres(spark: SparkSession, directory: str) -> DataFrame:
         return recommender.genre_report(splits, clusters, fixtures.movies(spark, directory))
 
 
+def _planted_clusters_by_split(ratings: DataFrame):
+    """The splits, and per split the users in as many clusters as there are factors."""
+    splits = _splits(ratings)
+    fitted = recommender.fit_models(splits, {"planted": {"rank": 1, "maxIter": 20, "regParam": 1e-6, "nonnegative": True}})
+    return splits, {split: recommender.cluster_users(model, _GROUPS) for (split, _), model in fitted.items()}
+
+
+def _planted_top5(spark: SparkSession, directory: str) -> DataFrame:
+    with kept(_grouped_ratings(spark, directory)) as ratings:
+        _, clusters = _planted_clusters_by_split(ratings)
+    parts = [_planted_sizes(users).select(F.lit(split).alias("split"), "factor", "count") for split, users in clusters.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _planted_genres(spark: SparkSession, directory: str) -> DataFrame:
+    with kept(_grouped_ratings(spark, directory)) as ratings:
+        splits, clusters = _planted_clusters_by_split(ratings)
+        return recommender.genre_report(splits, clusters, fixtures.movies(spark, directory))
+
+
+_PLANTED_BY_SPLIT = f"""{RATINGS}, {MOVIES}, ranked AS (
+  SELECT "userId", "movieId", percent_rank() OVER (ORDER BY timestamp) AS p,
+         ({_GROUP_OF})[("userId" % {len(_GROUP_OF)} + 1)::int] AS factor FROM ratings),
+shares(split, share) AS (VALUES {_SHARES}),
+train AS (SELECT split, "userId", "movieId", factor FROM ranked JOIN shares ON p < share),
+sizes AS (SELECT split, factor, count(DISTINCT "userId") AS count FROM train GROUP BY split, factor),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY count DESC) AS place FROM sizes)"""
+
+_PLANTED_GENRES = f"""WITH {_PLANTED_BY_SPLIT}, liked AS (
+  SELECT DISTINCT split, "movieId" FROM train JOIN ordered USING (split, factor)
+  WHERE place = 1 AND factor * ("movieId" % 2 + 1) >= 4),
+counted AS (
+  SELECT split, genre, count(*) AS count
+  FROM (SELECT split, unnest(list_distinct(string_split(genres, '|'))) AS genre FROM liked JOIN movies USING ("movieId"))
+  WHERE genre <> '' GROUP BY split, genre)
+SELECT split, genre, count FROM counted
+QUALIFY row_number() OVER (PARTITION BY split ORDER BY count DESC, genre) <= 10"""
+
+
 # --- Tuning and whole analyses --------------------------------------------------------
 
 _FOLDS, _FOLD_SEED = 3, models.CLAIMS_SEED
@@ -774,6 +813,12 @@ QUERIES = [
         f"""WITH {_GROUPED} SELECT factor, count(DISTINCT "userId") AS count
         FROM grouped GROUP BY factor ORDER BY count DESC LIMIT 5""",
     ),
+    Query(
+        "cluster_top5_planted_by_split",
+        _planted_top5,
+        f"WITH {_PLANTED_BY_SPLIT} SELECT split, factor, count FROM ordered WHERE place <= 5",
+    ),
+    Query("cluster_genres_planted_by_split", _planted_genres, _PLANTED_GENRES),
     Query("cluster_top5_by_split", _cluster_top5),
     Query("cluster_genres_by_split", _cluster_genres),
     Query(
