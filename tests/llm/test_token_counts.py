@@ -1,7 +1,7 @@
 """Totals under inserts, deletes, revisions and repeated batches."""
 
 from tests import oracle
-from tests.llm.fixtures import SMALL, empty, table
+from tests.llm.fixtures import SMALL, empty, table, with_clashes
 from tidemark.llm import catalog
 from tidemark.llm.token_counts import TOKENIZERS, Rollup, changes, counted
 
@@ -52,10 +52,21 @@ def test_counts_of_hostile_texts(spark, tmp_path):
     rows = [tuple(r) for r in counts.select("`words/1`", "`words/2`", "`symbols/1`").collect()]
     assert rows == [(0, 0, 0), (0, 0, 0), (3, 1, 7), (3, 1, 7), (1, 1, 3)]
     rollup = Rollup(spark, str(tmp_path))
-    rollup.apply("1", changes(counts, "words", None, "words/1"))
-    assert totals(rollup) == [("src0", "en", "words", 5, 7)]
-    rollup.apply("2", changes(counted(empty(spark), TOKENIZERS), "words", None, "words/1"))
-    assert totals(rollup) == [("src0", "en", "words", 5, 7)]
+    rollup.apply("1", changes(counts, inserted="words/1"))
+    assert totals(rollup) == [("src0", "en", "words/1", 5, 7)]
+    rollup.apply("2", changes(counted(empty(spark), TOKENIZERS), inserted="words/1"))
+    assert totals(rollup) == [("src0", "en", "words/1", 5, 7)]
+
+
+def test_versions_are_never_mixed(spark, tmp_path):
+    """A revision that was applied to some documents leaves each version's total exact."""
+    counts = counted(with_clashes(table(spark, ["a-b é ...", "c d", "..."])), TOKENIZERS)
+    rollup = Rollup(spark, str(tmp_path))
+    rollup.apply("load", changes(counts, inserted="words/1"))
+    rollup.apply("some", changes(counts.filter("doc_id = 0"), deleted="words/1", inserted="words/2"))
+    assert totals(rollup) == [("src0", "en", "words/1", 2, 3), ("src0", "en", "words/2", 1, 1)]
+    rollup.apply("rest", changes(counts.filter("doc_id > 0"), deleted="words/1", inserted="words/2"))
+    assert totals(rollup) == [("src0", "en", "words/2", 3, 3)]
 
 
 def test_query_equals_sql(spark):

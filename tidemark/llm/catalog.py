@@ -94,17 +94,17 @@ def bpe_digests(decoded: DataFrame) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, directory: str) -> DataFrame:
-    """Load all documents, withdraw exact copies, revise the word counts of the rest; one batch comes twice."""
+    """Load all documents, withdraw exact copies, count the words of the rest by a new version; one batch comes twice."""
     folder = scratch_path(spark, "token-counts")
     counts = snapshot(counted(read_table(spark, directory, "documents"), TOKENIZERS), f"{folder}/counts")
     first = counts.filter("copy is not null").groupBy("copy").agg(F.min("doc_id").alias("first"))
     counts = counts.join(snapshot(first, f"{folder}/first"), "copy", "left")
     repeats = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
     rollup = Rollup(spark, f"{folder}/rollup")
-    load = changes(counts, "words", None, "words/1").union(changes(counts, "symbols", None, "symbols/1"))
+    load = changes(counts, inserted="words/1").union(changes(counts, inserted="symbols/1"))
     gone = counts.filter(repeats)
-    withdraw = changes(gone, "words", "words/1", None).union(changes(gone, "symbols", "symbols/1", None))
-    revise = changes(counts.filter(~repeats), "words", "words/1", "words/2")
+    withdraw = changes(gone, deleted="words/1").union(changes(gone, deleted="symbols/1"))
+    revise = changes(counts.filter(~repeats), deleted="words/1", inserted="words/2")
     for name, batch in (("load", load), ("withdraw", withdraw), ("revise", revise), ("withdraw", withdraw)):
         rollup.apply(name, batch)
     return rollup.totals()
@@ -118,10 +118,10 @@ with counted as (
          min(doc_id) over (partition by text) as first
   from documents),
 kept as (select * from counted where text is null or doc_id is null or not coalesce(doc_id > first, false))
-select source, lang, 'words' as tokenizer, count(*) as n_docs, cast(sum(words) as bigint) as n_tokens
+select source, lang, 'words/2' as tokenizer, count(*) as n_docs, cast(sum(words) as bigint) as n_tokens
 from kept group by all
 union all
-select source, lang, 'symbols', count(*), cast(sum(symbols) as bigint) from kept group by all
+select source, lang, 'symbols/1', count(*), cast(sum(symbols) as bigint) from kept group by all
 """
 
 

@@ -1,8 +1,10 @@
 """Token counts as rollups kept up to date by deltas.
 
 A change holds a document's count before and after it: an insert has no count before, a delete none
-after, a revision both. Changes add to the totals by source, language and tokenizer with their
-sign, so a batch is folded to a row per key before it is stored, and totals are sums of batches.
+after, a count that was revised both. Changes add to the totals by source, language and tokenizer
+version with their sign, so a batch is folded to a row per key before it is stored, and totals are sums of
+batches. A new tokenizer version is a new key: its counts are inserted and the old version's deleted, in one
+batch, so no total ever mixes versions.
 
 A batch is written to a folder of its own and then committed by its name. A batch whose name is
 committed is not applied again; one that failed before its commit is not read, and its next run
@@ -41,7 +43,11 @@ class Rollup:
         return self.spark.read.schema("batch string").parquet(self.commits).distinct()
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
-        """Add a batch of rows (KEYS, before, after); False if it was committed before."""
+        """Add a batch of rows (KEYS, before, after); False if it was committed before.
+
+        tokenizer is its name and version. Repeated rows count as often as they come; a batch of no rows is
+        committed and changes nothing.
+        """
         if not self.committed().filter(F.col("batch") == batch).isEmpty():
             return False
         stored = folded(changes).withColumn("batch", F.lit(batch))
@@ -70,7 +76,8 @@ TOKENIZERS = {
 def counted(docs: DataFrame, tokenizers: dict[str, str]) -> DataFrame:
     """doc_id, source, lang, copy (hash of the text, null for none) and a column per tokenizer.
 
-    Null texts have no tokens.
+    Null texts have no tokens. Repeated rows count as often as they come; an empty table gives no rows.
+    Columns are named after the tokenizers, so other columns of docs don't clash.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(
@@ -82,9 +89,16 @@ def counted(docs: DataFrame, tokenizers: dict[str, str]) -> DataFrame:
     )
 
 
-def changes(counts: DataFrame, tokenizer: str, before: str | None, after: str | None) -> DataFrame:
-    """Rows for `Rollup.apply` from a table of counts: the columns that hold the count before and after."""
-    column = lambda name: F.col(f"`{name}`") if name else F.lit(None).cast("long")
-    return counts.select(
-        "source", "lang", F.lit(tokenizer).alias("tokenizer"), column(before).alias("before"), column(after).alias("after")
-    )
+def changes(counts: DataFrame, deleted: str | None = None, inserted: str | None = None) -> DataFrame:
+    """Rows for `Rollup.apply` from a table of counts by tokenizer version.
+
+    The documents go from the totals of version `deleted` and come to those of version `inserted`; either may
+    be None. With both it is a revision, and as one batch it moves from one version to the other at once.
+    """
+    none = F.lit(None).cast("long")
+    sides = []
+    if deleted:
+        sides.append(F.struct(F.lit(deleted).alias("tokenizer"), F.col(f"`{deleted}`").alias("before"), none.alias("after")))
+    if inserted:
+        sides.append(F.struct(F.lit(inserted).alias("tokenizer"), none.alias("before"), F.col(f"`{inserted}`").alias("after")))
+    return counts.select("source", "lang", F.inline(F.array(*sides)))
