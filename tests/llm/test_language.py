@@ -77,7 +77,7 @@ def test_held_out_accuracy(spark):
 def test_sample_is_bounded(spark):
     rows = [("en", f"text {i} " * 50) for i in range(3 * language.SAMPLE_ROWS)]
     parser = learn(sample(spark, rows))
-    assert len(parser.table) < 2 * language.SAMPLE_BYTES * len(parser.symbol)
+    assert len(parser.tables(0).table) < 2 * language.SAMPLE_BYTES * 256
 
 
 def test_copies_and_long_texts_leave_room_for_others(spark):
@@ -100,3 +100,33 @@ def test_shares():
 def test_capitals_of_accented_letters(text):
     (block,) = blocks(pa.array([text]))
     assert letters_of(block)[0].tobytes().decode() == text.lower()
+
+
+def test_many_languages_are_parsed_in_groups(spark, monkeypatch):
+    """500 labels: a task holds the tables of one group, and the groups' result is that of all at once."""
+    monkeypatch.setattr(language, "SAMPLE_BYTES", 400)
+    random.seed(9)
+    words = {f"l{i:03}": ["".join(random.choices("abcdefghijkl", k=5)) for _ in range(12)] for i in range(500)}
+    rows = [(name, " ".join(random.choices(own, k=40))) for name, own in words.items() for _ in range(2)]
+    parser = learn(sample(spark, rows))
+    assert len(parser.languages) == 500 and len(parser.groups) == -(-500 // language.GROUP)
+    largest = max(parser.tables(n).table.nbytes for n in range(len(parser.groups)))
+    # Twice as many states as letters, a cell of four bytes for each symbol.
+    assert largest <= language.GROUP * 2 * 400 * 4 * 20
+    chosen = sorted(words)[::25]
+    texts = [" ".join(random.choices(words[name], k=30)) for name in chosen]
+    found = {r.doc_id: r.lang_pred for r in identify(table(spark, texts), parser).collect()}
+    assert [found[i] for i in range(len(texts))] == chosen
+
+
+def test_pieces_rarely_change_the_winner(spark, monkeypatch):
+    """Whole texts in one piece against pieces of 256 letters: the share of texts with another language."""
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    parser = learn(docs.filter("doc_id % 4 <> 2").select("lang", "text"))
+    texts = docs.select("text").toPandas()["text"]
+    texts = [t for t in texts if len(t) < 4000]
+    (block,) = blocks(pa.array(texts), size=1 << 30)
+    ((pieces, _, _),) = parser.decide([block])
+    monkeypatch.setattr(language, "PIECE", 4096)
+    ((whole, _, _),) = parser.decide([block])
+    assert len(texts) > 700 and sum(a != b for a, b in zip(pieces, whole, strict=True)) <= len(texts) // 200
