@@ -73,3 +73,16 @@ def test_transducer_equals_a_dictionary(count):
 def test_transducer_shares_suffixes():
     words = {f"{stem}{end}".encode(): [0] for stem in "abcdefgh" for end in ("ing", "ed", "s")}
     assert len(lexicon.compile_lexicon(words).final) < 12
+
+
+def test_long_runs_of_letters_merge_in_short_time(library):
+    import time
+
+    with open(vocabulary_path(), encoding="utf-8") as file:
+        vocabulary = bpe.Vocabulary(file.read())
+    random.seed(3)
+    for text in ("".join(random.choices("etaoinshr", k=60_000)), "ab" * 30_000, "a" * 50_001, "é" * 999):
+        begun = time.perf_counter()
+        ids = vocabulary.merge(text)
+        assert time.perf_counter() - begun < 10
+        assert ids == library.encode(text, add_special_tokens=False).ids

@@ -10,6 +10,7 @@ bytes as printable characters, an end-of-word mark. Its special strings in a tex
 
 from __future__ import annotations
 
+import heapq
 import json
 import unicodedata
 from collections.abc import Iterator, Sequence
@@ -22,15 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import lexicon as lex
-from tidemark.llm.words import NOT_SPACE, Words, blocks, byte_class, find_words, small_batches, word_hashes
+from tidemark.llm.words import NOT_SPACE, Words, blocks, byte_class, find_words, lean, small_batches, word_hashes
 from tidemark.sources.cache import kept
 
 #: Most words that are compiled; it bounds the transducer, not what can be encoded.
 LEXICON_WORDS = 60_000
 #: Pieces that are merged side by side, and the longest that are.
 MERGED_ROWS, MERGED_LENGTH = 4096, 64
-#: Larger blocks have fewer distinct words for their size.
-BLOCK = 1 << 19
+#: Texts of this many bytes are cut together; larger blocks have fewer distinct words for their size and take more memory.
+BLOCK = 1 << 18
 
 _LETTERS = byte_class(bytes([*range(97, 123), *range(0x80, 0x100)]))
 _END = "</w>"
@@ -74,23 +75,25 @@ class Vocabulary:
 
     def merge(self, piece: str) -> list[int]:
         """Ids of one piece: the pair that was learned first is joined wherever it stands, and so on."""
-        parts = [self.characters[b] for b in piece.encode()]
+        parts: list[str | None] = [self.characters[b] for b in piece.encode()]
         parts[-1] += _END
-        rank = self.rank
-        while len(parts) > 1:
-            ranks = [rank.get(pair, 1 << 40) for pair in zip(parts, parts[1:])]  # noqa: B905
-            least = min(ranks)
-            if least == 1 << 40:
-                break
-            joined, at = [], 0
-            while at < len(parts):
-                if at < len(ranks) and ranks[at] == least:
-                    joined.append(parts[at] + parts[at + 1])
-                    at += 2
-                else:
-                    joined.append(parts[at])
-                    at += 1
-            parts = joined
+        n, rank = len(parts), self.rank
+        # The parts as a linked list, the pairs in a heap by rank and place: n log n for a long run of letters.
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(rank[pair], at) for at, pair in enumerate(zip(parts, parts[1:])) if pair in rank]  # noqa: B905
+        heapq.heapify(heap)
+        while heap:
+            found, at = heapq.heappop(heap)
+            right = after[at]
+            if parts[at] is None or right >= n or rank.get((parts[at], parts[right])) != found:
+                continue
+            parts[at], parts[right], after[at] = parts[at] + parts[right], None, after[right]
+            if after[at] < n:
+                before[after[at]] = at
+            for left in (before[at], at):
+                if left >= 0 and after[left] < n and (pair := (parts[left], parts[after[left]])) in rank:
+                    heapq.heappush(heap, (rank[pair], left))
+        parts = [p for p in parts if p is not None]
         return [self.ids[p] for p in parts]
 
 
@@ -106,6 +109,7 @@ def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS) -> list[bytes]:
     those. Words of the step that would pass `most` are left out together.
     """
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, times = [], []
@@ -314,6 +318,7 @@ def encode(docs: DataFrame, vocabulary_file: str, lexicon_words: int = LEXICON_W
     docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     tables, source = _tables(docs, vocabulary_file, lexicon_words)
 
+    @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(source.value)
         encoder, token = Encoder(vocabulary, lex.mapped(tables.value)), vocabulary.tokens().__getitem__
@@ -339,6 +344,7 @@ def decode(encoded: DataFrame, vocabulary_file: str) -> DataFrame:
     with open(vocabulary_file, encoding="utf-8") as file:
         tokens = encoded.sparkSession.sparkContext.broadcast(Vocabulary(file.read()).tokens())
 
+    @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = tokens.value
         token = lambda i: known[i] if i < len(known) else b""
