@@ -33,6 +33,7 @@ from tidemark.llm.words import (
     Words,
     blocks,
     find_words,
+    lean,
     mix,
     small_batches,
     window_hashes,
@@ -54,6 +55,7 @@ def _between(block: Block, words: Words, first: int, last: int) -> str:
 def benchmark_windows(benchmark: DataFrame, window: int) -> DataFrame:
     """item_id, words, k, width, shingles: the windows of every item."""
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column("text"), lower=True):
@@ -93,6 +95,7 @@ def _places(block: Block, words: Words, widths: list[int], known: bloom.Bloom) -
 
 
 def _shingle_counts(docs: DataFrame, widths: list[int], known: bloom.Bloom) -> DataFrame:
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.zeros(0, np.uint64)]
@@ -115,7 +118,9 @@ def _with_anchor(windows: DataFrame, docs: DataFrame, widths: list[int]) -> Data
     own = single.groupBy("shingle").agg(F.count("*").alias("own"))
     counted = own.join(_shingle_counts(docs, widths, bloom.build(own, "shingle")), "shingle", "left")
     rarity = F.struct(F.coalesce("times", F.lit(0)).alias("times"), "own", "shingle", "shift")
-    best = single.join(counted, "shingle").groupBy("words").agg(F.min(rarity).alias("best"))
+    # A further join column has both sides shuffled, so that a shingle of very many items can be split.
+    hashed = lambda df: df.withColumn("_h", F.xxhash64("shingle"))
+    best = hashed(single).join(hashed(counted), ["shingle", "_h"]).groupBy("words").agg(F.min(rarity).alias("best"))
     return distinct.join(best, "words").select(
         "words", "k", "width", F.col("best.shingle").alias("anchor"), F.col("best.shift").alias("shift")
     )
@@ -125,6 +130,7 @@ def _scan(docs: DataFrame, widths: list[int], window: int, known: bloom.Bloom) -
     """A row for every text: doc_id, key_a, key_b (of its words), n_words, and its anchors found,
     each with place, the words around and the place of the first of those."""
 
+    @lean
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found_type = pa.list_(
             pa.struct([("anchor", pa.int64()), ("place", pa.int32()), ("begin", pa.int32()), ("around", pa.string())])
