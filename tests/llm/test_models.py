@@ -185,3 +185,77 @@ def test_toxic_features():
     assert values.undone[1] > 0 and values.odd_words[1] == 1
     assert values.near[0] > 0 and values.near[5] == 0
     assert (values.iloc[3:5].to_numpy() == 0).all()
+
+
+def plain_features(text, learned, insults):
+    """Each feature of one text by a loop over its words."""
+    import re
+
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    letters = r"(?:[a-z]|[^\x00-\x7f])+"
+    words, spaced = re.findall(letters, low), re.findall(r"[^\x20\x09-\x0d]+", text)
+    undo = str.maketrans("0134578@$", "oieastbas")
+    undone = [w for w in re.findall(letters, low.translate(undo))]
+    bad, own = [w in insults for w in words], [w in learned for w in words]
+    you = [w in toxicity.ADDRESS for w in words]
+    near = sum((bad[i] or own[i]) and any(you[max(0, i - toxicity.NEAR) : i + toxicity.NEAR + 1]) for i in range(len(words)))
+    n, m, size = max(len(words), 1), max(len(spaced), 1), max(len(text.encode()), 1)
+    count = lambda s, chars: sum(c in chars for c in s)
+    inside = lambda w: len([b for b in w.encode() if chr(b).isascii() and chr(b).isalpha() or b >= 128])
+    upper = lambda w: sum("A" <= c <= "Z" for c in w)
+    odd = "0123456789@$*#!"
+    return [
+        sum(bad) / n, min(sum(bad), 3), sum(own) / n, min(sum(own), 3), max(sum(w in insults for w in undone) - sum(bad), 0) / n,
+        near / n, sum(you) / n, upper(text) / size, sum(upper(w) > 1 and 2 * upper(w) > inside(w) for w in spaced) / m,
+        count(text, "!?.,;:*#%&$@") / size, text.count("!") / size,
+        sum(count(w, odd) > (w[-1] in odd) and inside(w) > 1 for w in spaced) / m, np.log1p(len(spaced)), len(text.encode()) / m,
+    ]
+
+
+def hostile_texts():
+    rng = np.random.default_rng(4)
+    pieces = ["you", "IDIOT", "id1ot", "moron", "grumpf", "Grumpf!", "du", "a", "$tupid", "ÉTÉ", "été", "x9", "!!!", "the", "tree", "SCUM.", "12", "*", "\n", "日本"]
+    return [" ".join(rng.choice(pieces, size=n)) for n in (1, 2, 3, 5, 8, 13, 40, 200) for _ in range(6)] + ["", " \n", "!" * 50, "you" * 90_000]
+
+
+def test_features_equal_a_plain_loop():
+    texts = hostile_texts()
+    features = toxicity.Features(["grumpf", "été"])
+    got = np.concatenate([features(block) for block in blocks(pa.array(texts), size=3000)])
+    want = np.array([plain_features(t, {"grumpf", "été"}, set(toxicity.INSULTS)) for t in texts])
+    assert got.shape == want.shape
+    for at, name in enumerate(toxicity.FEATURES):
+        assert got[:, at] == pytest.approx(want[:, at], abs=1e-12), name
+
+
+def test_scores_equal_plain_features_trees_and_calibration(spark):
+    """Whole scores from a plain loop over texts, the trees that are fitted on it, and linear steps between pools."""
+    rng = np.random.default_rng(5)
+    texts = [t for t in hostile_texts() if t.strip()] + [" ".join(rng.choice(["you", "tree", "idiot", "house", "moron"], size=12)) for _ in range(120)]
+    labels = [int("idiot" in t.lower() or "moron" in t) for t in texts]
+    docs = with_clashes(table(spark, texts + [None])).repartition(4)
+    training = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, training).collect()}
+    rows = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(zip(texts, labels, strict=True))], "doc_id long, text string, label int")
+    learned, insults = toxicity.learn_words(rows)
+    values = np.array([plain_features(t, set(learned), set(insults)) for t in [*texts, ""]])
+    part = np.array([r.p for r in rows.orderBy("doc_id").select(F.pmod(F.xxhash64("doc_id"), F.lit(toxicity.PARTS)).alias("p")).collect()])
+    trees, (places, heights) = toxicity._fit(values[:-1], np.array(labels, float), part)
+    for at, row in enumerate(values):
+        margin = trees.margins(row[None, :])[0]
+        if margin <= places[0] or margin >= places[-1]:
+            want = heights[0] if margin <= places[0] else heights[-1]
+        else:
+            after = int(np.searchsorted(places, margin, "right"))
+            share = (margin - places[after - 1]) / (places[after] - places[after - 1])
+            want = heights[after - 1] + share * (heights[after] - heights[after - 1])
+        assert got[at if at < len(texts) else len(texts)] == pytest.approx(want, abs=1e-9)
+
+
+def test_repeated_ids_teach_with_one_text(spark):
+    """The sample is the same however the rows lie, and has one text of each id."""
+    from tidemark.llm.learning import one_text
+
+    docs = table(spark, ["b", "a", "c", "a", "d"], [1, 1, 1, 2, 3]).select("doc_id", "text")
+    first = sorted(map(tuple, one_text(docs).collect()))
+    assert first == sorted(map(tuple, one_text(docs.orderBy(F.desc("text")).repartition(3)).collect())) and [r[0] for r in first] == [1, 2, 3]

@@ -27,3 +27,10 @@ def sample(rows: DataFrame, most: int = SAMPLE_ROWS) -> DataFrame:
         share = int(0.95 * most / total * steps)
         rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < share)
     return rows.limit(most)
+
+
+def one_text(rows: DataFrame) -> DataFrame:
+    """Of the rows (doc_id, text, ...) of a bounded sample's ids one for each id: that of the smallest hash of its text."""
+    others = [c for c in rows.columns if c != "doc_id"]
+    first = F.min(F.struct(F.xxhash64("text").alias("_hash"), *others)).alias("first")
+    return rows.groupBy("doc_id").agg(first).select("doc_id", *[f"first.{c}" for c in others])

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.boosting import Trees, fit_trees
-from tidemark.llm.learning import SAMPLE_ROWS, labelled_ids, sample
+from tidemark.llm.learning import SAMPLE_ROWS, labelled_ids, one_text, sample
 from tidemark.llm.statistics import COUNTS, count_table, ratios
 
 MONOTONE = {"symbols": -1, "bangs": -1, "dup_lines": -1, "repeats": -1, "top_word": -1, "caps_words": -1, "odd_words": -1, "distinct": 1}
@@ -60,9 +60,9 @@ def quality_rules(docs: DataFrame, training: DataFrame, most: int = SAMPLE_ROWS)
     """doc_id, the COUNTS columns, base_failed, score and kept of every row of docs (doc_id, text).
 
     `training` has doc_id and quality (0 or 1). Null and blank texts have no words and fail the base
-    rules. Repeated rows each get their result, and an id that is repeated may be sampled with any of
-    its texts. Without labels the score is 0.5 everywhere and only the base rules decide.
+    rules. Repeated rows each get their result, and an id that is repeated is sampled with the
+    text of the smallest hash. An empty table of documents gives no rows. Without labels the score is 0.5 everywhere and only the base rules decide.
     """
     chosen = sample(labelled_ids(training, "quality"), most)  # at most `most` rows of two numbers
     labelled = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
-    return judge(count_table(docs), fit_rules(count_table(labelled), training, most))
+    return judge(count_table(docs), fit_rules(count_table(one_text(labelled)), training, most))

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.boosting import Trees, fit_trees
-from tidemark.llm.learning import SAMPLE_ROWS, labelled_ids, sample
+from tidemark.llm.learning import SAMPLE_ROWS, labelled_ids, one_text, sample
 from tidemark.llm.statistics import running
-from tidemark.llm.words import LOWER, NOT_SPACE, Block, Words, blocks, byte_class, find_words, small_batches, word_hashes
+from tidemark.llm.words import LOWER, NOT_SPACE, Block, Words, blocks, byte_class, find_words, lean, small_batches, word_hashes
 from tidemark.sources.cache import kept
 
 # Common English insults, and words that address the reader in four languages.
@@ -253,12 +253,14 @@ def _fit(features: np.ndarray, labels: np.ndarray, part: np.ndarray) -> tuple[Tr
 def toxicity_scores(docs: DataFrame, training: DataFrame, most: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id and score (0 to 1, higher: label 1 likelier) of every row of docs (doc_id, text).
 
-    `training` has doc_id and toxic (0 or 1); at most `most` of its rows are fitted on. Null and blank texts are scored by their features, which are 0. Repeated
-    rows each get their score. Without both labels the score is 0.5.
+    `training` has doc_id and toxic (0 or 1); at most `most` of its rows are fitted on, an id that is
+    repeated with the text of the smallest hash. Null and blank texts are scored by their features, which
+    are 0. Repeated rows each get their score. Without both labels the score is 0.5. An empty table of
+    documents gives no rows.
     """
     docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     chosen = sample(labelled_ids(training, "toxic"), most)  # at most `most` rows of two numbers
-    rows = docs.join(F.broadcast(chosen), "doc_id")
+    rows = one_text(docs.join(F.broadcast(chosen), "doc_id"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,6 +279,7 @@ def toxicity_scores(docs: DataFrame, training: DataFrame, most: int = SAMPLE_ROW
     both = 0 < labels.sum() < len(labels)
     trees, (places, heights) = _fit(values, labels, found.column("part").to_numpy()) if both else (None, (None, None))
 
+    @lean
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column("text")):
