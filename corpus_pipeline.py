@@ -53,11 +53,11 @@ def _without(docs: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
 
     A filter of the keys that go, which are few, lets most rows through without a shuffle; the rest is joined.
     """
-    name, hidden = gone.columns[0], _hidden(docs, "key", "gone", "hash")
+    name, (own, other, own_hash, other_hash) = gone.columns[0], _hidden(docs, "key", "gone", "hash", "gone_hash")
     sure, maybe = bloom.split(docs, _long(key), gone.select(_long(F.col(name)).alias("h")), "h")
-    maybe = maybe.withColumns({hidden[0]: key, hidden[2]: _long(key)})
-    gone = gone.select(F.col(name).alias(hidden[1]), _long(F.col(name)).alias(f"{hidden[2]}b"))
-    same = (F.col(hidden[0]) == F.col(hidden[1])) & (F.col(hidden[2]) == F.col(f"{hidden[2]}b"))
+    maybe = maybe.withColumns({own: key, own_hash: _long(key)})
+    gone = gone.select(F.col(name).alias(other), _long(F.col(name)).alias(other_hash))
+    same = (F.col(own) == F.col(other)) & (F.col(own_hash) == F.col(other_hash))
     return sure.union(maybe.join(gone, same, "left_anti").select(docs.columns))
 
 
