@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import bloom
 from tidemark.llm.learning import labelled_ids
 from tidemark.llm.quality_rules import matrix
 from tidemark.llm.statistics import COUNTS, count_table
@@ -94,10 +95,14 @@ def quality_scores(docs: DataFrame, training: DataFrame) -> DataFrame:
 
     `training` has doc_id and quality (0 or 1); all its rows are learned from. Null and blank texts are
     scored by their statistics, which are 0. Repeated rows each get their score, and an id that is
-    repeated teaches with all its texts. Unless both labels occur, the score is 0.5.
+    repeated teaches with all its texts. Unless both labels occur, the score is 0.5. An empty table of
+    documents gives no rows.
     """
-    statistics = count_table(docs)
-    model = fit_discriminant(statistics.join(labelled_ids(training, "quality"), "doc_id").select("label", *COUNTS))
+    statistics, labels = count_table(docs), labelled_ids(training, "quality")
+    # Statistics of labelled texts, and of the few that a filter of the labelled ids takes for such.
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
+    _, maybe = bloom.split(narrow, F.xxhash64("doc_id"), labels.select(F.xxhash64("doc_id").alias("h")), "h")
+    model = fit_discriminant(count_table(maybe).join(labels, "doc_id").select("label", *COUNTS))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
