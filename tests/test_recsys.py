@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from pyspark.sql import functions as F
@@ -92,3 +94,17 @@ def test_largest_cluster_users(spark):
     clusters = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "id int, cluster int")
     assert sorted(r.id for r in models.largest_cluster_users(clusters).collect()) == [2, 3]
     assert [tuple(r) for r in models.cluster_sizes(clusters).collect()] == [(1, 2), (0, 1)]
+
+
+def test_moved_factors_of_old_iterations_leave_the_disk(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    shuffles = lambda: {name.split("_")[1] for name in (f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(files.getAllFiles())) if name.startswith("shuffle_")}
+    given = spark.range(4000).selectExpr("cast(id % 97 as int) userId", "cast(id % 89 as int) movieId", "cast(id % 5 as double) rating")
+    before = shuffles()
+    model = models.fit_recommender(given, blocks=2, rank=2, maxIter=9)
+    deadline = time.time() + 20
+    # Three shuffles deal out the ratings, two move the factors of the last iteration; 18 halves were left before.
+    while len(shuffles() - before) > 8 and time.time() < deadline:
+        time.sleep(0.5)
+    assert len(shuffles() - before) <= 8
+    assert model.userFactors.count() == 97
