@@ -159,3 +159,14 @@ def test_given_documents(spark):
     found = pipeline.run(spark, SMALL)
     total = spark.read.parquet(f"{SMALL}/documents.parquet").count()
     assert 0.5 * total < found.count() < total
+
+
+def test_filters_of_keys_need_no_pandas(spark, monkeypatch):
+    asked, given = [], F.pandas_udf
+    monkeypatch.setattr(F, "pandas_udf", lambda *args, **more: asked.append(args) or given(*args, **more))
+    rows = spark.range(1000).selectExpr("if(id % 10 = 3, null, id * 7) k")
+    sure, maybe = pipeline.bloom.split(rows, F.col("k"), spark.range(50).selectExpr("id * 7 h"), "h")
+    inside = [r.k for r in maybe.collect()]
+    assert inside.count(None) == 100 and {i * 7 for i in range(50) if i % 10 != 3} <= set(inside)
+    assert sure.count() + len(inside) == 1000 and len(inside) < 200
+    assert ("boolean",) not in asked and not hasattr(pipeline.bloom, "pd")

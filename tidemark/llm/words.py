@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -38,6 +39,7 @@ def small_batches(docs: DataFrame) -> DataFrame:
 
 
 def _give_back() -> None:
+    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
