@@ -5,6 +5,8 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
 from tidemark.operators import batched, features, metrics, models, tuning
@@ -157,3 +159,29 @@ def test_boosting_grid_takes_a_fit_for_all_iterations(rows, monkeypatch):
     monkeypatch.setattr(tuning, "_shorter_fits", lambda c, maps: [[s] for s in range(len(maps))])
     apart = tuning.cross_validate(rows, {"m": candidate}, 2, ["id"], 1, stages)["m"]
     assert sorted(staged.folds.collect()) == sorted(apart.folds.collect()) and staged.best_setting == apart.best_setting
+
+
+def test_poisson_settings_of_a_fold_share_their_scans(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("id", "id % 3 a", "id % 7 / 7 b", "double(pmod(xxhash64(id), 3 + id % 3)) label")
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    estimator = GeneralizedLinearRegression(family="poisson", link="log", labelCol="label", tol=1e-10, maxIter=100)
+    candidate = tuning.Candidate(estimator, {"fitIntercept": [True, False], "regParam": [0.0, 0.1, 10.0]}, tuning.rmse("label"))
+    fits, fit = [], GeneralizedLinearRegression._fit
+    monkeypatch.setattr(GeneralizedLinearRegression, "_fit", lambda self, rows: fits.append(self) or fit(self, rows))
+    tuned = tuning.cross_validate(df, {"m": candidate}, 2, ["id"], 3)["m"]
+    # By the library: two settings without intercept but with a strength, on two folds, and the refit.
+    assert len(fits) == 5
+    fold = k_fold(2, ["id"], 3)
+    for row in tuned.folds.collect():
+        model = estimator.copy({estimator.fitIntercept: row.fitIntercept, estimator.regParam: row.regParam}).fit(df.filter(fold != row.fold))
+        assert row.value == pytest.approx(candidate.metric.value(model.transform(df.filter(fold == row.fold))), rel=1e-7)
+
+
+def test_packed_rows_are_few_and_whole(spark):
+    df = spark.range(50_000, numPartitions=2).selectExpr("int(id % 3) fold", "double(id) label", "array(double(id), 1.0, id / 2) x")
+    found = batched.packed(df).collect()
+    assert len(found) <= 12
+    assert sorted(v for r in found for v in np.frombuffer(r.label)) == list(range(50_000))
+    assert sum(len(r.x) for r in found) == 3 * 8 * 50_000 and sum(len(r.fold) for r in found) == 4 * 50_000
+    wide = spark.range(10).selectExpr("0 fold", "double(id) label", f"array_repeat(1.0D, {batched.PACKED_NUMBERS // 2}) x")
+    assert [len(r.label) for r in batched.packed(wide.coalesce(1)).collect()] == [16] * 5

@@ -24,6 +24,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources.cache import kept
+
 # Executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -31,6 +33,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MAX_WIDTH = 512
 #: Groups of tasks whose sums meet in one task before the driver.
 GROUPS = 64
+#: Numbers of the vectors that are packed together: half a megabyte.
+PACKED_NUMBERS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -39,7 +43,8 @@ class Problem:
 
     Rows of `fold` are held out; None trains on all rows. `scaled` penalises a Poisson model's coefficients
     as of features scaled to unit deviation; logistic models do so always. `offset` names a column that
-    is added to the linear predictor.
+    is added to the linear predictor. Without `intercept` that is 0; such models take no strength here, as the
+    library measures their penalty against the sum of predictions instead.
     """
 
     family: str
@@ -49,6 +54,7 @@ class Problem:
     fold: int | None = None
     scaled: bool = False
     offset: str | None = None
+    intercept: bool = True
 
 
 @dataclass(frozen=True)
@@ -83,6 +89,35 @@ def _number(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False)
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """`wide_rows` as arrays of numbers, at most `PACKED_NUMBERS` of a vector's in a row (fold, x, *numbers).
+
+    Scans read them without taking each row apart again.
+    """
+    names = [c for c in rows.columns if c != "x"]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            wide = len(whole.column("x").flatten()) // max(whole.num_rows, 1)
+            step = max(1, PACKED_NUMBERS // max(wide, 1))
+            for batch in (whole.slice(at, step) for at in range(0, whole.num_rows, step)):
+                numbers = [_number(batch, c).astype(np.int32 if c == "fold" else np.float64) for c in names]
+                arrays = [batch.column("x").flatten().to_numpy(zero_copy_only=False), *numbers]
+                yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in arrays], ["x", *names])
+
+    return rows.mapInArrow(pack, ", ".join(f"`{c}` binary" for c in ("x", *names)))
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Batches of the rows that were packed."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            found = {c: np.frombuffer(batch.column(c)[at].as_buffer(), np.int32 if c == "fold" else np.float64) for c in batch.schema.names}
+            ends = pa.array(np.arange(len(found["fold"]) + 1, dtype=np.int32) * width)
+            columns = [pa.ListArray.from_arrays(ends, pa.array(v)) if c == "x" else pa.array(v) for c, v in found.items()]
+            yield pa.RecordBatch.from_arrays(columns, list(found))
+
+
 def _predictor(batch: pa.RecordBatch, x: np.ndarray, problem: Problem, beta: np.ndarray) -> np.ndarray:
     linear = x @ beta
     return linear if problem.offset is None else linear + _number(batch, problem.offset)
@@ -130,11 +165,11 @@ def _added(rows: DataFrame, sums) -> dict[int, np.ndarray]:
 
 
 def _moments(rows: DataFrame, width: int, labels: Sequence[str]) -> dict[int, np.ndarray]:
-    """By fold: rows, sums of the vectors and of their squares, sums of the labels."""
+    """By fold of `packed` rows: how many, sums of the vectors and of their squares, sums of the labels."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in _unpacked(batches, width):
             x, fold = _matrix(batch, width)[:, :-1], _number(batch, "fold")
             y = np.stack([_number(batch, c) for c in labels], 1)
             for f in np.unique(fold).tolist():
@@ -147,12 +182,12 @@ def _moments(rows: DataFrame, width: int, labels: Sequence[str]) -> dict[int, np
 
 
 def _derivatives(rows: DataFrame, width: int, problems: Sequence[Problem], betas: dict[int, np.ndarray]) -> dict[int, tuple]:
-    """(loss, gradient, curvature) of the problems in `betas`, by number, at those coefficients: one scan."""
+    """(loss, gradient, curvature) of the problems in `betas`, by number, at those coefficients: one scan of `packed` rows."""
     size = width + 1
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = {number: np.zeros(1 + size + size * size) for number in betas}
-        for batch in batches:
+        for batch in _unpacked(batches, width):
             x, fold = _matrix(batch, width), _number(batch, "fold")
             for number, beta in betas.items():
                 problem = problems[number]
@@ -215,11 +250,11 @@ class _Descent:
         deviation = np.sqrt(variance) if problem.scaled or not poisson else np.ones(width)
         weight = problem.strength * (deviation if problem.penalty == "l1" else deviation**2)
         self.penalty = np.append(weight, 0.0)
-        self.free = np.append(variance > 0, True)
+        self.free = np.append(variance > 0, problem.intercept)
         share = min(max(label_sum / n, 1e-12), 1e300 if poisson else 1 - 1e-12)
         self.beta = np.zeros(width + 1)
         self.beta[-1] = np.log(share) if poisson else np.log(share / (1 - share))
-        if problem.offset:
+        if problem.offset or not problem.intercept:
             self.beta[-1] = 0.0
         self.step, self.length, self.best, self.done = np.zeros(width + 1), 1.0, np.inf, total[0] == 0
         self.converged = bool(self.done)
@@ -250,22 +285,25 @@ class _Descent:
 def fit_batch(rows: DataFrame, problems: Sequence[Problem], tolerance: float = 1e-7, max_scans: int = 100) -> Batch:
     """Train all problems on rows (fold, labels, offsets, x), as `wide_rows` makes them.
 
-    The rows are read once for each common step, so keep them. Vectors of more than `MAX_WIDTH` numbers are
+    The rows are read once and kept packed, which are read once for each common step. Vectors of more than `MAX_WIDTH` numbers are
     refused; use the ML library's trainers for those. Without rows all coefficients are 0.
     """
+    if any(p.strength and not p.intercept for p in problems):
+        raise ValueError("a model without intercept takes no strength")
     first = rows.select(F.size("x").alias("width")).first()
     width = first.width if first else 0
     if width > MAX_WIDTH:
         raise ValueError(f"vectors of {width} numbers; at most {MAX_WIDTH}")
     labels = sorted({p.label for p in problems})
-    moments = _moments(rows, width, labels)
-    descents = [_Descent(p, moments, width, labels) for p in problems]
-    scans = 1
-    while scans < max_scans and any(not d.done for d in descents):
-        betas = {number: d.trial() for number, d in enumerate(descents) if not d.done}
-        for number, found in _derivatives(rows, width, problems, betas).items():
-            descents[number].take(*found, tolerance)
-        scans += 1
+    with kept(packed(rows)) as numbers:
+        moments = _moments(numbers, width, labels)
+        descents = [_Descent(p, moments, width, labels) for p in problems]
+        scans = 1
+        while scans < max_scans and any(not d.done for d in descents):
+            betas = {number: d.trial() for number, d in enumerate(descents) if not d.done}
+            for number, found in _derivatives(numbers, width, problems, betas).items():
+                descents[number].take(*found, tolerance)
+            scans += 1
     models = [Fitted(d.problem, d.beta[:-1], float(d.beta[-1]), d.converged) for d in descents]
     return Batch(models, scans)
 

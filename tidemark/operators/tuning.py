@@ -112,9 +112,25 @@ def _columns_read(estimators: Iterable[Estimator]) -> list[str]:
     return sorted(columns - {""})
 
 
+def _is_poisson(estimator: Estimator) -> bool:
+    return isinstance(estimator, GeneralizedLinearRegression) and (estimator.getFamily(), estimator.getLink()) == ("poisson", "log")
+
+
+def _has_batched_form(estimator: Estimator, values: Mapping) -> bool:
+    """Whether `batched` minimises what the Poisson estimator does under this parameter map."""
+    if {p.name for p in values} - {"regParam", "fitIntercept"}:
+        return False
+    full = estimator.extractParamMap() | dict(values)
+    return bool(full[estimator.fitIntercept] or not full[estimator.regParam])
+
+
 def _shorter_fits(candidate: Candidate, maps: list[dict]) -> list[list[int]]:
-    """Settings that one fit serves: boosting's that differ in the number of iterations only, else each its own."""
+    """Settings that are fitted together: boosting's that differ in the number of iterations only, and those of a
+    Poisson regression that `batched` knows; else each its own."""
     estimator = candidate.estimator
+    if _is_poisson(estimator) and not estimator.isSet("weightCol") and candidate.metric.name == "rmse":
+        together = [setting for setting, values in enumerate(maps) if _has_batched_form(estimator, values)]
+        return [together] * bool(together) + [[setting] for setting in range(len(maps)) if setting not in together]
     if not isinstance(estimator, GBTClassifier) or estimator.isSet("validationIndicatorCol"):
         return [[setting] for setting in range(len(maps))]
     groups: dict[tuple, list[int]] = {}
@@ -146,6 +162,31 @@ def staged_scores(model: GBTClassificationModel, df: DataFrame, stages: Sequence
     )
 
 
+def _errors_side_by_side(candidate: Candidate, maps: Sequence[Mapping], train: DataFrame, test: DataFrame) -> list[float | None]:
+    """The metric on `test` of a Poisson regression under each parameter map, None where `batched` found no model."""
+    estimator = candidate.estimator
+    label, features = estimator.getLabelCol(), estimator.getFeaturesCol()
+    offset = estimator.getOffsetCol() if estimator.isSet("offsetCol") and estimator.getOffsetCol() else None
+    problems = []
+    for values in maps:
+        full = estimator.extractParamMap() | dict(values)
+        strength, intercept = float(full[estimator.regParam]), full[estimator.fitIntercept]
+        problems.append(batched.Problem("poisson", label, "l2", strength, offset=offset, intercept=intercept))
+    columns = [label, *([offset] if offset else [])]
+    rows, tested = (batched.wide_rows(part, features, columns, F.lit(0)) for part in (train, test))
+    first = rows.select(F.size("x").alias("width")).first()
+    if first is None or not 0 <= first.width <= batched.MAX_WIDTH:
+        return [None] * len(problems)
+    models = batched.fit_batch(rows, problems, max_scans=estimator.getMaxIter() + 1).models
+    found = [number for number, model in enumerate(models) if model.converged]
+    if not found:
+        return [None] * len(problems)
+    long = batched.score_batch(tested, [models[number] for number in found], held_out=False)
+    values = candidate.metric.values(long.withColumnRenamed("score", "prediction"), ["number"])
+    errors = {number: values.get((place,)) for place, number in enumerate(found)}
+    return [errors.get(number) for number in range(len(problems))]
+
+
 def cross_validate(
     df: DataFrame,
     candidates: Mapping[str, Candidate],
@@ -162,7 +203,8 @@ def cross_validate(
     Python function is run on the rows. The feature stages in `prepare` are fitted
     once per fold, whatever the number of settings and candidates; the vectors of
     a fold are kept while all settings train on them, `parallelism` at a time. Boosting
-    is fitted once for all its numbers of iterations. The best
+    is fitted once for all its numbers of iterations; strengths of a Poisson regression, with and without
+    intercept, share the scans of a fold. The best
     settings are refitted on `refit_on`, else on all of `df`. What reaches the
     driver is one number per fold and setting.
     """
@@ -185,9 +227,16 @@ def cross_validate(
             def measure(task, train=train_vectors, test=test_vectors, fold=fold):
                 name, group = task
                 candidate = candidates[name]
+
+                def alone(setting):
+                    return candidate.metric.value(candidate.estimator.fit(train, maps[name][setting]).transform(test))
+
                 if len(group) == 1:
-                    model = candidate.estimator.fit(train, maps[name][group[0]])
-                    return [(name, group[0], fold, candidate.metric.value(model.transform(test)))]
+                    return [(name, group[0], fold, alone(group[0]))]
+                if _is_poisson(candidate.estimator):
+                    errors = _errors_side_by_side(candidate, [maps[name][setting] for setting in group], train, test)
+                    pairs = zip(group, errors, strict=True)
+                    return [(name, setting, fold, alone(setting) if error is None else error) for setting, error in pairs]
                 iterations = {setting: maps[name][setting][candidate.estimator.maxIter] for setting in group}
                 model = candidate.estimator.fit(train, maps[name][max(group, key=iterations.get)])
                 long = staged_scores(model, test, sorted(set(iterations.values())))
