@@ -170,3 +170,36 @@ def test_filters_of_keys_need_no_pandas(spark, monkeypatch):
     assert inside.count(None) == 100 and {i * 7 for i in range(50) if i % 10 != 3} <= set(inside)
     assert sure.count() + len(inside) == 1000 and len(inside) < 200
     assert ("boolean",) not in asked and not hasattr(pipeline.bloom, "pd")
+
+
+def _python_steps_of_last_stage(df):
+    """Python steps of a plan that no exchange separates from its root."""
+    found, hidden = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        hidden = hidden if hidden is not None and depth > hidden else None
+        if hidden is None and "Exchange" in line:
+            hidden = depth
+        elif hidden is None and ("MapInArrow" in line or "EvalPython" in line):
+            found.append(line.strip(" :+-"))
+    return found
+
+
+def test_tasks_of_all_stages_have_one_python_worker(spark, corpus, monkeypatch):
+    """Steps in a row each take a worker, and an executor's workers stay alive with what they have loaded."""
+    folder, _, _ = corpus
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    chained, given = [], type(spark.range(0)).mapInArrow
+
+    def watched(self, *args, **more):
+        chained.extend(_python_steps_of_last_stage(self))
+        return given(self, *args, **more)
+
+    try:
+        rows = spark.range(5).mapInArrow(lambda batches: batches, "id long")
+        assert len(_python_steps_of_last_stage(rows)) == 1 and not _python_steps_of_last_stage(rows.repartition(2))
+        monkeypatch.setattr(type(rows), "mapInArrow", watched)
+        assert pipeline.run(spark, folder).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not chained

@@ -92,24 +92,22 @@ class _Once:
 
     def __init__(self, classes: DataFrame, rows: int) -> None:
         many = max(2, math.ceil(rows / LARGE_CLASSES))
-        self.large = bloom.build(_mixed_names(classes.filter(F.col("copies") >= many)), "h", bits_per_key=512)
-        self.first = bloom.build(_mixed_names(classes, self.large), "h")
+        self.large = _filter_of_names(classes.filter(F.col("copies") >= many), bits_per_key=512)
+        self.first = _filter_of_names(classes, self.large)
 
     def further(self, names: np.ndarray, ids: pa.Array) -> np.ndarray:
         names, ids = names.view(np.uint64), ids.fill_null(0).to_numpy().view(np.uint64)
         return self.large.has(mix(names)) & ~self.first.has(mix(names ^ mix(ids)))
 
 
-def _mixed_names(classes: DataFrame, within: bloom.Bloom | None = None) -> DataFrame:
-    """h: hashes of the names, or of name and representative of the classes that a filter lets through."""
+def _filter_of_names(classes: DataFrame, within: bloom.Bloom | None = None, bits_per_key: int = 16) -> bloom.Bloom:
+    """Of hashes of the names, or of name and representative of the classes that a filter lets through."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, ids = (batch.column(c).fill_null(0).to_numpy().view(np.uint64) for c in ("name", "rep"))
-            hashes = mix(names) if within is None else mix(names ^ mix(ids))[within.has(mix(names))]
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["h"])
+    def hashes(batch: pa.RecordBatch) -> np.ndarray:
+        names, ids = (batch.column(c).fill_null(0).to_numpy().view(np.uint64) for c in ("name", "rep"))
+        return mix(names) if within is None else mix(names ^ mix(ids))[within.has(mix(names))]
 
-    return classes.select("name", "rep").mapInArrow(rows, "h long")
+    return bloom.build_of(classes.select("name", "rep"), hashes, bits_per_key)
 
 
 def _more(n: np.ndarray | int, percent: int) -> np.ndarray:

@@ -13,7 +13,9 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,14 +70,19 @@ def find_spans(text: str, rules: tuple[Rule, ...], compiled: dict[str, re.Patter
     return [{"kind": kind, "start": start, "stop": stop} for start, _, stop, kind in sorted(found)]
 
 
-def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """blob, rules, spans of rows (blob, text, rules: names of the rules to apply)."""
+def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES, unless: Broadcast | None = None) -> DataFrame:
+    """blob, rules, spans of rows (blob, text, rules: names of the rules to apply).
+
+    `unless` is a sent filter: rows whose hash, a further column h, it may have are left out.
+    """
 
     @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = {r.name: re.compile(r.pattern, re.ASCII | (re.IGNORECASE if r.any_case else 0)) for r in rules}
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
         for batch in batches:
+            if unless is not None:
+                batch = batch.filter(pa.array(~unless.value.has(batch.column("h").to_numpy().view(np.uint64))))
             spans = []
             for text, names in zip(batch.column("text"), batch.column("rules"), strict=True):
                 wanted = set(names.as_py())
@@ -84,7 +91,8 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
                 [batch.column("blob"), batch.column("rules"), pa.array(spans, kind)], ["blob", "rules", "spans"]
             )
 
-    return blobs.select("blob", "text", "rules").mapInArrow(rows, f"blob string, rules array<string>, spans {SPANS}")
+    hashed = [] if unless is None else ["h"]
+    return blobs.select("blob", "text", "rules", *hashed).mapInArrow(rows, f"blob string, rules array<string>, spans {SPANS}")
 
 
 class Ledger:
@@ -94,7 +102,9 @@ class Ledger:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
-        spark.createDataFrame([], self.SCHEMA).write.mode("append").parquet(folder)
+        # Not from a Python list, which would start workers of another kind that stay with the executors.
+        empty = spark.range(0).select(F.lit(None).cast(f"struct<{self.SCHEMA}>").alias("row")).select("row.*")
+        empty.write.mode("append").parquet(folder)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.SCHEMA).parquet(self.folder)
@@ -124,7 +134,8 @@ def update(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) ->
     seen = ledger.seen()
     counted = snapshot(paths.groupBy("blob").agg(F.min("doc_id").alias("at"), F.count("*").alias("rows")), scratch_path(docs.sparkSession, "blobs"))
     special = counted.filter("rows > 1").select("blob").union(seen.select("blob")).select(F.xxhash64("blob").alias("h"))
-    sure, maybe = bloom.split(docs, F.xxhash64(blob), special, "h")
+    known = docs.sparkSession.sparkContext.broadcast(bloom.build(special, "h"))
+    maybe = docs.filter(bloom.may_have(F.xxhash64(blob), known))
     missing = (
         counted.join(seen, "blob", "left")
         .withColumn("rules", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))))
@@ -133,8 +144,9 @@ def update(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) ->
     )
     texts = maybe.join(missing, F.col("doc_id").eqNullSafe(F.col("at"))).filter(blob == F.col("wanted"))
     texts = texts.select(F.col("wanted").alias("blob"), "text", "rules")
-    fresh = sure.select(blob.alias("blob"), "text", wanted.alias("rules"))
-    ledger.append(scan(fresh.union(texts), rules))
+    # The scan itself leaves out the rows of `maybe`, so that a task has one Python worker.
+    fresh = docs.select(blob.alias("blob"), "text", wanted.alias("rules"), F.xxhash64(blob).alias("h"))
+    ledger.append(scan(fresh, rules, unless=known).union(scan(texts, rules)))
     return paths
 
 
