@@ -108,3 +108,20 @@ def test_moved_factors_of_old_iterations_leave_the_disk(spark):
         time.sleep(0.5)
     assert len(shuffles() - before) <= 8
     assert model.userFactors.count() == 97
+
+
+def test_more_ratings_than_the_library_takes_are_fitted_by_blocks(spark, monkeypatch):
+    """A task of the library held a block of a tenth of all ratings and the factors that it names."""
+    given = spark.range(4000).selectExpr("cast(id * 31 % 97 as int) userId", "cast(id * id % 89 as int) movieId", "cast(id % 5 as double) rating")
+    given = given.repartition(3)
+    for params in ({"rank": 3, "maxIter": 3, "regParam": 0.05}, {"rank": 1, "maxIter": 2, "nonnegative": True}):
+        library = models.fit_recommender(given, blocks=4, **params)
+        with monkeypatch.context() as patch:
+            patch.setattr(models, "LIBRARY_BLOCK_ROWS", 999)
+            found = models.fit_recommender(given, blocks=4, **params)
+        assert not hasattr(found, "userFactors")
+        users = lambda m: [[r.id for r in part] for part in models.user_factors(m).rdd.glom().collect()]
+        assert users(found) == users(library)
+        rows = lambda m: [tuple(r) for r in m.transform(given).groupBy("userId", "movieId").agg(F.round(F.avg("prediction"), 3)).sort("userId", "movieId").collect()]
+        for one, other in zip(rows(found), rows(library), strict=True):
+            assert one[:2] == other[:2] and abs(one[2] - other[2]) <= 0.0021
